@@ -108,7 +108,7 @@ FROM rows GROUP BY conv_id
 
 _SQL_SUBSTRING = r"""
 WITH docs AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), starts AS (
   SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, w FROM docs WHERE len(w) >= 20
 ), keyed AS (SELECT doc_id, s, sha256(array_to_string(w[s:s + 19], ' ')) AS k FROM starts),
