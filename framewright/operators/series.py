@@ -178,5 +178,5 @@ def collect_tracks(sessions: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Arrays by frame for each segment: track_frames, and a column for each (name, cast) of ``columns``."""
     rows = F.array_sort(F.collect_list(F.struct("frame_idx", *columns)))
     out = sessions.groupBy(*SEGMENT).agg(rows.alias("_r"))
-    named = [F.transform("_r", lambda r, c=c: r[c]).cast(f"array<{t}>").alias(f"track_{c}") for c, t in columns.items()]
-    return out.select(*SEGMENT, F.transform("_r", lambda r: r["frame_idx"]).cast("array<int>").alias("track_frames"), *named)
+    named = [F.col("_r").getField(c).cast(f"array<{t}>").alias(f"track_{c}") for c, t in columns.items()]
+    return out.select(*SEGMENT, F.col("_r").getField("frame_idx").cast("array<int>").alias("track_frames"), *named)

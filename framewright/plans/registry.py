@@ -41,7 +41,8 @@ def _long(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _round(names, n: int = 4):
-    return [F.round(c, n).alias(c) for c in names]
+    """Rounded columns; the offset keeps exact ties, on which engines differ, from being ties."""
+    return [F.round(F.col(c) + 1e-9, n).alias(c) for c in names]
 
 
 # ---------------------------------------------------------------- series
@@ -78,7 +79,7 @@ def _moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.segments(moved, 1, *series.motion_figures(P.DETECT))
 
 
-@query(f"WITH {_MOTION_SQL} SELECT video_id, seg_index, round(body_motion_median, 4) AS body_motion_median, round(wrist_motion_p75, 4) AS wrist_motion_p75 FROM mf")
+@query(f"WITH {_MOTION_SQL} SELECT video_id, seg_index, round(body_motion_median + 1e-9, 4) AS body_motion_median, round(wrist_motion_p75 + 1e-9, 4) AS wrist_motion_p75 FROM mf")
 def motion_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _moved(spark, sf_dir).select("video_id", "seg_index", *_round(["body_motion_median", "wrist_motion_p75"]))
 
@@ -105,13 +106,13 @@ def tumbling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.tumbling_counts(P.track(spark, sf_dir), 20)
 
 
-@query(f"WITH {P.DENSE_SQL} SELECT video_id, seg_index, frame_idx, round(cx, 4) AS cx, round(cy, 4) AS cy, round(h, 4) AS h FROM dense")
+@query(f"WITH {P.DENSE_SQL} SELECT video_id, seg_index, frame_idx, round(cx + 1e-9, 4) AS cx, round(cy + 1e-9, 4) AS cy, round(h + 1e-9, 4) AS h FROM dense")
 def dense_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = series.densify(P.sessions(spark, sf_dir), ["cx", "cy", "h"])
     return out.select("video_id", "seg_index", "frame_idx", *_round(["cx", "cy", "h"]))
 
 
-@query(f"WITH {P.SMOOTH_SQL} SELECT video_id, seg_index, frame_idx, round(cx, 4) AS cx, round(cy, 4) AS cy, round(h, 4) AS h FROM smooth")
+@query(f"WITH {P.SMOOTH_SQL} SELECT video_id, seg_index, frame_idx, round(cx + 1e-9, 4) AS cx, round(cy + 1e-9, 4) AS cy, round(h + 1e-9, 4) AS h FROM smooth")
 def smoothed_track(spark: SparkSession, sf_dir: str) -> DataFrame:
     dense = series.densify(P.sessions(spark, sf_dir), ["cx", "cy", "h"])
     out = series.moving_average(dense, series.SEGMENT, "frame_idx", ["cx", "cy", "h"], 25)
@@ -125,18 +126,18 @@ _GEOMETRY_SQL = f"""{P.SMOOTH_SQL}, pt AS ({P.POINT_SQL}), ds AS (
 mid AS (SELECT video_id, seg_index, median(cx) AS mx, median(cy) AS my, median(h) * 1.8 AS base FROM smooth GROUP BY 1, 2),
 bx0 AS (SELECT *, greatest(base, 2 * reach * 1.1) AS want FROM reach LEFT JOIN mid USING (video_id, seg_index)),
 bx1 AS (SELECT *, least(want, 1080.0) AS side FROM bx0),
-bx2 AS (SELECT *, least(greatest(mx - side / 2, 0.0), 1920 - side) AS bx, least(greatest(my - side / 2, 0.0), 1080 - side) AS by FROM bx1),
+bx2 AS (SELECT *, least(greatest(mx - side / 2, 0.0), 1920 - side) AS bx, least(greatest(my - side / 2, 0.0), 1080 - side) AS oy FROM bx1),
 fit AS (
-  SELECT video_id, seg_index, avg(CASE WHEN cx - h / 2 >= bx AND cx + h / 2 <= bx + side AND cy - h / 2 >= by AND cy + h / 2 <= by + side THEN 1 ELSE 0 END) AS cover,
+  SELECT video_id, seg_index, avg(CASE WHEN cx - h / 2 >= bx AND cx + h / 2 <= bx + side AND cy - h / 2 >= oy AND cy + h / 2 <= oy + side THEN 1 ELSE 0 END) AS cover,
          greatest(max(abs(cx - mx)), max(abs(cy - my))) AS drift
   FROM smooth JOIN bx2 USING (video_id, seg_index) WHERE mx IS NOT NULL GROUP BY 1, 2
 )"""
 
 
 @query(
-    f"""WITH {_GEOMETRY_SQL} SELECT video_id, seg_index, CASE WHEN ok THEN round(bx, 4) END AS bx, CASE WHEN ok THEN round(by, 4) END AS by,
-  CASE WHEN ok THEN round(side, 4) END AS b_side, CASE WHEN ok THEN round(reach, 4) ELSE 0 END AS wrist_reach_px,
-  CASE WHEN ok THEN round(cover, 4) ELSE 0 END AS body_coverage_frac, CASE WHEN ok THEN round(drift, 4) ELSE 0 END AS body_max_drift_px, ok AS geom_valid,
+    f"""WITH {_GEOMETRY_SQL} SELECT video_id, seg_index, CASE WHEN ok THEN round(bx + 1e-9, 4) END AS bx, CASE WHEN ok THEN round(oy + 1e-9, 4) END AS "by",
+  CASE WHEN ok THEN round(side + 1e-9, 4) END AS b_side, CASE WHEN ok THEN round(reach + 1e-9, 4) ELSE 0 END AS wrist_reach_px,
+  CASE WHEN ok THEN round(cover + 1e-9, 4) ELSE 0 END AS body_coverage_frac, CASE WHEN ok THEN round(drift + 1e-9, 4) ELSE 0 END AS body_max_drift_px, ok AS geom_valid,
   CASE WHEN mx IS NULL THEN 'insufficient_box_track' WHEN side < 128 THEN 'body_below_min_crop_px' WHEN want > 1080 THEN 'shrunk_to_frame' END AS geom_drop_reason
   FROM (SELECT *, mx IS NOT NULL AND side >= 128 AS ok FROM bx2 LEFT JOIN fit USING (video_id, seg_index))"""
 )
@@ -260,25 +261,25 @@ ws AS (
 rc AS (SELECT video_id, seg_index, win, quantile_cont(sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy)), 0.95) AS reach FROM good GROUP BY 1, 2, 3),
 b0 AS (SELECT *, greatest(mh * {w.crop_scale}, 2 * coalesce(reach, 0.0) * {1 + w.hand_margin_frac}) AS want FROM ws JOIN sm USING (video_id, seg_index, win) LEFT JOIN rc USING (video_id, seg_index, win)),
 b1 AS (SELECT *, least(want, 1080.0) AS side FROM b0),
-b2 AS (SELECT *, least(greatest(mcx - side / 2, 0.0), 1920 - side) AS bx, least(greatest(mcy - side / 2, 0.0), 1080 - side) AS by FROM b1),
+b2 AS (SELECT *, least(greatest(mcx - side / 2, 0.0), 1920 - side) AS bx, least(greatest(mcy - side / 2, 0.0), 1080 - side) AS oy FROM b1),
 cl AS (
-  SELECT video_id, seg_index, win, avg(CASE WHEN x < bx OR x > bx + side OR y < by OR y > by + side THEN 1 ELSE 0 END) AS clipped
+  SELECT video_id, seg_index, win, avg(CASE WHEN x < bx OR x > bx + side OR y < oy OR y > oy + side THEN 1 ELSE 0 END) AS clipped
   FROM good JOIN b2 USING (video_id, seg_index, win) GROUP BY 1, 2, 3
 ), allw AS (SELECT *, unnest(range(n_frames // {w.window_frames})) AS win FROM seg),
 j AS (SELECT allw.segment_uid, allw.start_frame, allw.win, b2.* EXCLUDE (video_id, seg_index, win), clipped FROM allw LEFT JOIN b2 USING (video_id, seg_index, win) LEFT JOIN cl USING (video_id, seg_index, win)),
 gated AS (
-  SELECT *, face / side * 512 AS fr, (nose - by) / side * 512 AS nr, CASE WHEN coalesce(n_sh, 0) < {needed} THEN 'shoulders_not_visible'
+  SELECT *, face / side * 512 AS fr, (nose - oy) / side * 512 AS nr, CASE WHEN coalesce(n_sh, 0) < {needed} THEN 'shoulders_not_visible'
     WHEN tilt > {w.max_shoulder_tilt} THEN 'tilted_presenter' WHEN share < {w.min_wrist_presence_frac} THEN 'hands_not_visible_enough'
     WHEN side < {w.min_crop_px} THEN CASE WHEN want > 1080 THEN 'shrunk_below_min_crop_px' ELSE 'below_min_crop_px' END
     WHEN clipped > {w.max_wrist_cutoff_frac} THEN 'wrist_clipped_boundary' WHEN face / side * 512 < {w.min_face_size_px} THEN 'face_too_small_for_lipsync'
-    WHEN (nose - by) / side * 512 < {w.headroom_min} OR (nose - by) / side * 512 > {w.headroom_max} THEN 'inconsistent_headroom' ELSE 'ok' END AS drop_reason FROM j
+    WHEN (nose - oy) / side * 512 < {w.headroom_min} OR (nose - oy) / side * 512 > {w.headroom_max} THEN 'inconsistent_headroom' ELSE 'ok' END AS drop_reason FROM j
 )"""
 
 
 _WINDOW_COLUMNS = ["bx", "by", "b_side", "face_height_render"]
 _WINDOW_SELECT = f"""SELECT segment_uid || printf('_w%04d', win) AS window_uid, start_frame + win * {P.WINDOW.window_frames} AS start_frame_abs, drop_reason = 'ok' AS kept, drop_reason,
-  CASE WHEN drop_reason = 'ok' THEN round(bx, 4) END AS bx, CASE WHEN drop_reason = 'ok' THEN round(by, 4) END AS by, CASE WHEN drop_reason = 'ok' THEN round(side, 4) END AS b_side,
-  CASE WHEN drop_reason = 'ok' THEN round(fr, 4) END AS face_height_render FROM gated"""
+  CASE WHEN drop_reason = 'ok' THEN round(bx + 1e-9, 4) END AS bx, CASE WHEN drop_reason = 'ok' THEN round(oy + 1e-9, 4) END AS "by", CASE WHEN drop_reason = 'ok' THEN round(side + 1e-9, 4) END AS b_side,
+  CASE WHEN drop_reason = 'ok' THEN round(fr + 1e-9, 4) END AS face_height_render FROM gated"""
 
 
 @query(f"WITH {_window_sql('i', '10.0')} {_WINDOW_SELECT}")
@@ -442,7 +443,7 @@ _VERIFY_SQL = """vf AS (
 
 
 @query(
-    f"""WITH {_VERIFY_SQL} SELECT video_id, fps_ok, duration_ok, av_ok, size_ok, round((dd - sd) * 1000, 1) AS dur_delta_ms,
+    f"""WITH {_VERIFY_SQL} SELECT video_id, fps_ok, duration_ok, av_ok, size_ok, round_even((dd - sd) * 1000, 1) AS dur_delta_ms,
   fps_ok AND duration_ok AND av_ok AND size_ok AS verified FROM vr"""
 )
 def verify_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
