@@ -48,7 +48,10 @@ def low_quality_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def listing(spark: SparkSession, folder: str, suffixes=NORMALIZE_SUFFIXES, recursive: bool = True) -> DataFrame:
-    """(path, size) of media files, partial downloads left out; contents are not read."""
+    """(path, size) of media files, partial downloads left out; contents are not read.
+
+    Spark's file sources never list empty files, so a file without a byte is not a medium.
+    """
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder)
     rows = rows.select("path", F.col("length").alias("size"))
     return rows.where(X.suffix("path").isin(*suffixes) & ~F.col("path").endswith(".part"))
