@@ -21,6 +21,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -213,7 +214,13 @@ class WordEncoder:
         self.closing[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self._forget()
 
-    def _forget(self) -> None:
+    def _forget(self, missing: list | None = None, distinct: list | None = None) -> None:
+        """Empties the memory, or cuts it back to the half that was met first: common pieces come early."""
+        if missing is not None and len(missing) < len(distinct) // 2:
+            keep = self.most // 2
+            self.known = {p: i for p, i in self.known.items() if i < keep}
+            self.at = int(self.start[keep - 1] + self.size[keep - 1])
+            return
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start, self.size = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
@@ -267,23 +274,28 @@ class WordEncoder:
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())), size
 
-    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def texts(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids a text, all ids), with the end id after each text."""
-        pieces = [(raw if b"<|" in raw else raw.lower()).split() for raw in (t.encode() for t in texts)]
-        words = list(chain.from_iterable(pieces))
-        order = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(order < 0)
-        if len(missing):
-            new = {words[i] for i in missing.tolist()}
-            if len(self.known) + len(new) > self.most:
-                self._forget()
-                new, missing = set(words), np.arange(len(words))
-            self._learn(list(new))
-            order[missing] = [self.known[words[i]] for i in missing.tolist()]
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        as_is = pc.match_substring(column, "<|")
+        column = pc.if_else(as_is, column, pc.ascii_lower(column))
+        split = pc.ascii_split_whitespace(column)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.binary()).to_pylist()
+        number = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(number < 0).tolist()
+        if missing:
+            if len(self.known) + len(missing) > self.most:
+                self._forget(missing, distinct)
+                number = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+                missing = np.flatnonzero(number < 0).tolist()
+            self._learn([distinct[i] for i in missing])
+            number[missing] = [self.known[distinct[i]] for i in missing]
+        order = number[words.indices.to_numpy(zero_copy_only=False)]
         n = self.size[order].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(n)])
         ids = self.flat[np.repeat(self.start[order] - total[:-1], n) + np.arange(total[-1])]
-        close = total[np.cumsum([len(p) for p in pieces], dtype=np.int64)] if pieces else np.zeros(0, np.int64)
+        close = total[np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)]
         return np.diff(close, prepend=0) + 1, np.insert(ids, close, END_ID)
 
 
@@ -314,7 +326,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, partitions: int | No
                     part = piece.column(2)[0].as_py()
                     name = f"{store.task_suffix()}.s8b"
                     encode, out = encoder(tokenizer), IdFile(fs.open_output_stream(f"{root}/{name}"))
-                lengths, ids = encode.texts(piece.column(1).to_pylist())
+                lengths, ids = encode.texts(piece.column(1))
                 out.add(piece.column(0).to_pylist(), lengths, ids)
         if out is not None:
             out.close()
