@@ -249,17 +249,21 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
         .where("c > 1")
         .drop("c")
     )
+    # written first: a join of two plain exchanges is one whose hot keys Spark can split
+    keys = store.cut(keys, "keys")
     hit = store.cut(t.join(keys, "key"), "repeats")
     store.drop(docs.sparkSession, t)
+    store.drop(docs.sparkSession, keys)
     later = ~((F.col("doc_id") == F.col("f.doc_id")) & (F.col("lo") == F.col("f.lo")))
     plain = hit.where("b0 = b1").where(later).select("doc_id", "lo", "n")
     mixed = hit.where("b0 <> b1").select("key", "block", "doc_id", "lo", "n")
-    heads = mixed.groupBy("key", "block").agg(F.min(F.struct("doc_id", "lo", "n")).alias("f"))
+    heads = store.cut(mixed.groupBy("key", "block").agg(F.min(F.struct("doc_id", "lo", "n")).alias("f")), "heads")
     copies = mixed.join(heads, ["key", "block"]).where(later).select("doc_id", "lo", "n")
     asked = heads.select("f.*").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "n")).alias("spans"))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.col("text").cast("string"))
     windows = store.cut(_window_hashes(texts.join(asked, "doc_id"), window), "windows")
-    seen = windows.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "lo")).alias("f")).where("c > 1")
+    seen = windows.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "lo")).alias("f")).where("c > 1").drop("c")
+    seen = store.cut(seen, "seen")
     single = windows.join(seen, ["h1", "h2"]).where(later).select("doc_id", "lo", F.lit(1).alias("n"))
     return store.cut(plain.unionByName(copies).unionByName(single), "spans")
 
