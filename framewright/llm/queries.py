@@ -16,8 +16,12 @@ def vocabulary(name: str) -> str:
     """Where a public vocabulary lies; FRAMEWRIGHT_TOKENIZERS names another folder."""
     import os
 
-    folder = os.environ.get("FRAMEWRIGHT_TOKENIZERS", "/opt/tokenizers")
-    return f"{folder}/{name}"
+    folder = os.environ.get("FRAMEWRIGHT_TOKENIZERS")
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
