@@ -31,15 +31,20 @@ LANES = 32
 _MASK = 0x0000000100000001
 
 
+def words_of(line: Column) -> Column:
+    """The normalised line as its words; one split does both."""
+    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+", -1), "")
+
+
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    return F.array_join(words_of(line), " ")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, lid, n, fp) of every line with a letter or digit: name, length, SimHash."""
     cut = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    norm = cut.select("doc_id", "line_no", normalised(F.col("line")).alias("norm")).where("norm <> ''")
-    named = norm.select("doc_id", "line_no", F.xxhash64("norm").alias("lid"), F.length("norm").alias("n"), F.split("norm", " ").alias("words"))
+    split = cut.select("doc_id", "line_no", words_of(F.col("line")).alias("words"))
+    named = split.select("doc_id", "line_no", F.xxhash64("words").alias("lid"), F.length(F.array_join("words", " ")).alias("n"), "words")
     word = named.select("doc_id", "line_no", "lid", "n", F.explode("words").alias("word"))
     word = word.select("doc_id", "line_no", "lid", "n", F.xxhash64("word", F.lit(17)).alias("h"))
     sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_MASK))).alias(f"s{k}") for k in range(LANES)]
@@ -79,41 +84,69 @@ def _near(fp_a: str, fp_b: str, n_a: str, n_b: str) -> Column:
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) of line names those that link; nodes: lid, n, fp, doc_id, line_no."""
-    side = {s: nodes.select(*(F.col(c).alias(f"{c}_{s}") for c in ("lid", "n", "fp"))) for s in "ab"}
-    near = pairs.join(side["a"], F.col("a") == F.col("lid_a")).join(side["b"], F.col("b") == F.col("lid_b"))
-    near = store.cut(near.where(_near("fp_a", "fp_b", "n_a", "n_b")).select("a", "b"), "pairs")
+    """Of the pairs (a, b) of line names those with like texts; nodes: lid, doc_id, line_no."""
+    near = store.cut(pairs.distinct(), "pairs")
     wanted = near.select(F.explode(F.array("a", "b")).alias("lid")).distinct().join(nodes.select("lid", "doc_id", "line_no"), "lid")
     asked = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "lid")).alias("asked"))
     text = (
         docs.join(asked, docs["doc_id"].eqNullSafe(asked["doc_id"]))
         .select(F.split("text", "\n", -1).alias("all"), F.explode("asked").alias("x"))
-        .select(F.col("x.lid").alias("lid"), normalised(F.try_element_at("all", F.col("x.line_no") + 1)).alias("norm"))
-        .where("xxhash64(norm) = lid")  # rows that share a doc_id may hold other texts
+        .select(F.col("x.lid").alias("lid"), words_of(F.try_element_at("all", F.col("x.line_no") + 1)).alias("words"))
+        .where("xxhash64(words) = lid")  # rows that share a doc_id may hold other texts
+        .select("lid", F.array_join("words", " ").alias("norm"))
         .dropDuplicates(["lid"])
     )
     text = store.cut(text, "linetexts")
     both = near.join(text.select(F.col("lid").alias("a"), F.col("norm").alias("x")), "a").join(text.select(F.col("lid").alias("b"), F.col("norm").alias("y")), "b")
-    most = f"cast(floor((1 - {SIMILARITY}) * greatest(length(x), length(y)) + 1e-9) as int)"
-    return store.cut(both.where(F.expr(f"levenshtein(x, y, {most}) >= 0")).select("a", "b"), "links")
+    return store.cut(alike(both).select("a", "b"), "links")
+
+
+def alike(pairs: DataFrame) -> DataFrame:
+    """Rows whose normalised lines x and y have an edit similarity of at least SIMILARITY.
+
+    Equal words at both ends are cut off first (each with the blank after it), which leaves
+    the distance as it is: levenshtein takes quadratic time, near copies mostly don't.  Each
+    step is a projection of its own, so that none is worked out twice.
+    """
+
+    def equal_words(p: Column, q: Column) -> Column:
+        differ = F.array_position(F.zip_with(p, q, lambda v, w: ~v.eqNullSafe(w)), True)
+        return F.when(differ == 0, F.col("_least")).otherwise(F.least(differ - 1, F.col("_least"))).cast("int")
+
+    def middle(words: str) -> Column:
+        n = F.size(words) - F.col("_head") - F.col("_tail")
+        return F.when(n > 0, F.concat(F.array_join(F.slice(words, F.col("_head") + 1, n), " "), F.lit(" "))).otherwise("")
+
+    most = F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - SIMILARITY) + 1e-9).cast("int")
+    out = pairs.withColumns({"_a": F.split("x", " "), "_b": F.split("y", " "), "_most": most})
+    out = out.withColumn("_least", F.least(F.size("_a"), F.size("_b")))
+    out = out.withColumn("_head", equal_words(F.col("_a"), F.col("_b")))
+    out = out.withColumn("_tail", F.least(equal_words(F.reverse("_a"), F.reverse("_b")), F.col("_least") - F.col("_head")))
+    # exploded from an array of one: the optimizer would move a plain filter below all steps
+    out = out.select(*pairs.columns, F.explode(F.array(F.struct(middle("_a").alias("p"), middle("_b").alias("q"), "_most"))).alias("_m"))
+    return out.where(F.expr("levenshtein(_m.p, _m.q, _m._most) >= 0")).select(*pairs.columns)
 
 
 def links(nodes: DataFrame, docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """Edges (a, b) that connect every pair of distinct lines within the limits."""
     blocks = blocks or block_count(nodes.count())
-    rows = nodes.select("lid", "fp", "n", "copies", F.explode(block_keys(F.col("fp"), blocks)).alias("key"))
-    # the most frequent line of each bucket with more than one; rows of other buckets go
-    busy = rows.groupBy("key").agg(F.count("*").alias("c"), F.max_by("lid", "copies").alias("hub")).where("c > 1").select("key", "hub")
-    busy = store.cut(rows.drop("copies").join(busy, "key"), "buckets")
-    first = verified(busy.where("lid <> hub").select(F.col("lid").alias("a"), F.col("hub").alias("b")).distinct(), nodes, docs)
+    rows = nodes.select("lid", F.explode(block_keys(F.col("fp"), blocks)).alias("key"))
+    shared = store.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared")
+    busy = store.cut(rows.join(shared, "key"), "buckets")  # few: most buckets have one line
+    busy = store.cut(busy.join(nodes.select("lid", "n", "fp", "copies"), "lid"), "figures")
+    # the most frequent line of each bucket
+    hub = [F.max_by(c, "copies").alias(f"hub_{c}") for c in ("lid", "n", "fp")]
+    near_hub = busy.join(store.cut(busy.groupBy("key").agg(*hub), "hubs"), "key")
+    near_hub = near_hub.where("lid <> hub_lid").where(_near("fp", "hub_fp", "n", "hub_n"))
+    first = verified(near_hub.select(F.col("lid").alias("a"), F.col("hub_lid").alias("b")), nodes, docs)
     names = components(first)
-    named = busy.drop("hub").join(names.withColumnRenamed("node", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+    named = busy.select("key", "lid", "n", "fp").join(names.withColumnRenamed("node", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
     named = store.cut(named, "named")
     mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
     left = named.join(mixed, "key", "left_semi")
     side = {s: left.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("lid", "n", "fp", "component"))) for s in "ab"}
     pairs = side["a"].join(side["b"], "key").where("component_a < component_b").where(_near("fp_a", "fp_b", "n_a", "n_b"))
-    pairs = pairs.select(F.col("lid_a").alias("a"), F.col("lid_b").alias("b")).distinct()
+    pairs = pairs.select(F.col("lid_a").alias("a"), F.col("lid_b").alias("b"))
     return first.unionByName(verified(pairs, nodes, docs))
 
 
