@@ -24,6 +24,7 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 MOST_REPEATED = 20  # percent of the words in repeated windows
 FEWEST_WORDS = 10
+CHUNK = 2 << 20  # bytes of text measured at once; token arrays are some thirty times as large
 
 #: script -> (characters per token: least, most; byte-fallback share: most; entropy in bits: least)
 #: The entropy floor falls with the number of tokens: a short text cannot reach it.
@@ -169,7 +170,7 @@ def quality(docs: DataFrame, vocabulary: str, bands: dict | None = None) -> Data
 
     def run(batches):
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", CHUNK):
                 m = measure(part.column(1).fill_null("").to_pylist(), vocabulary)
                 base, kept = verdicts(m, bands)
                 names = np.array(SCRIPTS, object)[m["script"]]
@@ -189,7 +190,7 @@ def keep_good(docs: DataFrame, vocabulary: str, bands: dict | None = None) -> Da
 
     def run(batches):
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", CHUNK):
                 texts = part.column(part.schema.get_field_index("text")).fill_null("").to_pylist()
                 yield part.filter(pa.array(verdicts(measure(texts, vocabulary), bands)[1]))
 
