@@ -13,6 +13,12 @@ lines, which changes the work and never the result.  Copies of a line are one no
 each bucket all lines are first held against its most frequent line, which joins dense
 clusters with linear work; only buckets whose lines are then still in different components
 are joined with themselves, so no link is lost and a cluster doesn't make all its pairs.
+
+Few lines at the least edit similarity differ in so few bits as blocks can serve.  With a
+``reach`` above RADIUS, lines are also candidates if they share one of the SKETCH smallest
+hashes of their word pairs (or, in lines of few words, of their character 4-grams) and
+their SimHashes differ in at most ``reach`` bits.  A hash that more than HOT lines share
+is replaced by its pairs with the lines' other hashes.
 """
 
 from __future__ import annotations
@@ -26,7 +32,13 @@ from . import store
 from .components import components
 
 RADIUS = 3
+REACH = 24  # bits within which nearly all lines at SIMILARITY lie; unlike ones have 32 on average
 SIMILARITY = 0.8
+SKETCH = 8
+HOT = 32
+FEW = 6  # words up to which character 4-grams count as well
+PARTS = 6  # in which pairs meet their texts one after another, so that less lies on disk at once
+LONG = 9  # characters from which a pair of words is taken before shorter, commoner ones
 LANES = 32
 _MASK = 0x0000000100000001
 
@@ -78,12 +90,42 @@ def block_keys(fp: Column, blocks: int) -> Column:
     return F.array(*keys)
 
 
-def _near(fp_a: str, fp_b: str, n_a: str, n_b: str) -> Column:
-    near = F.bit_count(F.col(fp_a).bitwiseXOR(F.col(fp_b))) <= RADIUS
+def sketch(words: Column) -> Column:
+    """Array of the smallest hashes of a line's word pairs, its ends counting as words."""
+    ends = F.concat(F.array(F.lit("")), words, F.array(F.lit("")))
+    top = F.lit(-(1 << 63)).cast("long")
+    sign = lambda h, v, w: F.when(F.length(v) + F.length(w) >= LONG, h.bitwiseOR(top)).otherwise(h.bitwiseAND(F.bitwise_not(top)))
+    pairs = F.zip_with(F.slice(ends, 1, F.size(words) + 1), F.slice(ends, 2, F.size(words) + 1), lambda v, w: sign(F.xxhash64(v, w, F.lit(23)), v, w))
+    chars = F.split(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), "")
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(chars) - 3, F.lit(1))), lambda i: F.xxhash64(F.slice(chars, i, 4), F.lit(29)))
+    least = lambda x: F.slice(F.array_sort(F.array_distinct(x)), 1, SKETCH)
+    return F.when(F.size(words) > FEW, least(pairs)).otherwise(F.concat(least(pairs), least(grams)))
+
+
+def sketch_buckets(docs: DataFrame) -> DataFrame:
+    """(key, lid) of the distinct lines that share a key made from their sketches."""
+    cut = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).select(words_of(F.col("line")).alias("words")).where("size(words) > 0")
+    rows = cut.select(F.xxhash64("words").alias("lid"), F.explode(sketch(F.col("words"))).alias("key")).distinct()
+    rows = store.cut(rows.select("key", "lid"), "sketches")
+    shared = store.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    found = store.cut(rows.join(shared, "key").select("key", "lid", "c"), "found")
+    hot = found.where(F.col("c") > HOT).select("lid", F.col("key").alias("other"))
+    finer = hot.join(rows, "lid").where("key <> other")
+    finer = store.cut(finer.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "lid").distinct(), "finer")
+    shared = store.cut(finer.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared")
+    out = found.where(F.col("c") <= HOT).select("key", "lid").unionByName(finer.join(shared, "key").select("key", "lid"))
+    out = store.cut(out, "buckets")
+    for old in (rows, found, finer):
+        store.drop(docs.sparkSession, old)
+    return out
+
+
+def _near(fp_a: str, fp_b: str, n_a: str, n_b: str, reach: int) -> Column:
+    near = F.bit_count(F.col(fp_a).bitwiseXOR(F.col(fp_b))) <= reach
     return near & (F.least(n_a, n_b) >= F.greatest(n_a, n_b) * SIMILARITY)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, parts: int = 1) -> DataFrame:
     """Of the pairs (a, b) of line names those with like texts; nodes: lid, doc_id, line_no."""
     near = store.cut(pairs.distinct(), "pairs")
     wanted = near.select(F.explode(F.array("a", "b")).alias("lid")).distinct().join(nodes.select("lid", "doc_id", "line_no"), "lid")
@@ -97,8 +139,15 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         .dropDuplicates(["lid"])
     )
     text = store.cut(text, "linetexts")
-    both = near.join(text.select(F.col("lid").alias("a"), F.col("norm").alias("x")), "a").join(text.select(F.col("lid").alias("b"), F.col("norm").alias("y")), "b")
-    return store.cut(alike(both).select("a", "b"), "links")
+    x, y = (text.select(F.col("lid").alias(k), F.col("norm").alias(t)) for k, t in (("a", "x"), ("b", "y")))
+    out = None
+    for part in range(parts):
+        some = near if parts == 1 else near.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == part)
+        done = store.cut(alike(some.join(x, "a").join(y, "b")).select("a", "b"), "links")
+        out = done if out is None else out.unionByName(done)
+    for old in (near, text):
+        store.drop(docs.sparkSession, old)
+    return out
 
 
 def alike(pairs: DataFrame) -> DataFrame:
@@ -127,37 +176,44 @@ def alike(pairs: DataFrame) -> DataFrame:
     return out.where(F.expr("levenshtein(_m.p, _m.q, _m._most) >= 0")).select(*pairs.columns)
 
 
-def links(nodes: DataFrame, docs: DataFrame, blocks: int | None = None) -> DataFrame:
-    """Edges (a, b) that connect every pair of distinct lines within the limits."""
+def links(nodes: DataFrame, docs: DataFrame, blocks: int | None = None, reach: int = RADIUS) -> DataFrame:
+    """Edges (a, b) that connect every pair of distinct lines within the limits (beyond RADIUS, every candidate pair)."""
     blocks = blocks or block_count(nodes.count())
     rows = nodes.select("lid", F.explode(block_keys(F.col("fp"), blocks)).alias("key"))
     shared = store.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared")
     busy = store.cut(rows.join(shared, "key"), "buckets")  # few: most buckets have one line
+    buckets, parts = [busy], 1
+    if reach > RADIUS:
+        buckets, parts = [busy, sketch_buckets(docs)], PARTS
+        busy = busy.select("key", "lid").unionByName(buckets[1])
     busy = store.cut(busy.join(nodes.select("lid", "n", "fp", "copies"), "lid"), "figures")
+    for old in buckets:
+        store.drop(docs.sparkSession, old)
     # the most frequent line of each bucket
     hub = [F.max_by(c, "copies").alias(f"hub_{c}") for c in ("lid", "n", "fp")]
     near_hub = busy.join(store.cut(busy.groupBy("key").agg(*hub), "hubs"), "key")
-    near_hub = near_hub.where("lid <> hub_lid").where(_near("fp", "hub_fp", "n", "hub_n"))
-    first = verified(near_hub.select(F.col("lid").alias("a"), F.col("hub_lid").alias("b")), nodes, docs)
+    near_hub = near_hub.where("lid <> hub_lid").where(_near("fp", "hub_fp", "n", "hub_n", reach))
+    first = verified(near_hub.select(F.col("lid").alias("a"), F.col("hub_lid").alias("b")), nodes, docs, parts)
     names = components(first)
     named = busy.select("key", "lid", "n", "fp").join(names.withColumnRenamed("node", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
     named = store.cut(named, "named")
+    store.drop(docs.sparkSession, busy)
     mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
     left = named.join(mixed, "key", "left_semi")
     side = {s: left.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("lid", "n", "fp", "component"))) for s in "ab"}
-    pairs = side["a"].join(side["b"], "key").where("component_a < component_b").where(_near("fp_a", "fp_b", "n_a", "n_b"))
+    pairs = side["a"].join(side["b"], "key").where("component_a < component_b").where(_near("fp_a", "fp_b", "n_a", "n_b", reach))
     pairs = pairs.select(F.col("lid_a").alias("a"), F.col("lid_b").alias("b"))
-    return first.unionByName(verified(pairs, nodes, docs))
+    return first.unionByName(verified(pairs, nodes, docs, parts))
 
 
-def repeated_lines(docs: DataFrame, blocks: int | None = None) -> DataFrame:
+def repeated_lines(docs: DataFrame, blocks: int | None = None, reach: int = RADIUS) -> DataFrame:
     """(doc_id, line_no) of every line that goes."""
     seen = store.cut(occurrences(docs), "lines")
     nodes = seen.groupBy("lid", "n", "fp").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "line_no")).alias("f"))
     # equal names are one node even if (by a 64-bit accident) other figures differ
     nodes = nodes.groupBy("lid").agg(F.min("n").alias("n"), F.min("fp").alias("fp"), F.sum("copies").alias("copies"), F.min("f").alias("f"))
     nodes = store.cut(nodes.select("lid", "n", "fp", "copies", "f.doc_id", "f.line_no"), "nodes")
-    names = components(links(nodes, docs, blocks)).withColumnRenamed("node", "lid")
+    names = components(links(nodes, docs, blocks, reach)).withColumnRenamed("node", "lid")
     grouped = nodes.join(names, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
     kept = grouped.groupBy("component").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc_id", "line_no")).alias("f")).where("copies > 1").drop("copies")
     lookup = grouped.select("lid", "component").join(kept, "component").select("lid", "f")
@@ -165,18 +221,18 @@ def repeated_lines(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     return store.cut(gone.where(~F.struct("doc_id", "line_no").eqNullSafe(F.col("f"))).select("doc_id", "line_no"), "gone")
 
 
-def dedup_lines(docs: DataFrame, blocks: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, blocks: int | None = None, reach: int = RADIUS) -> DataFrame:
     """The rows of docs with repeated lines cut out of text, and n_lines, n_removed.
 
     Lines end at line feeds; those without a letter or digit always stay.  Of each group
     of linked lines the occurrence of the smallest (doc_id, line number) stays.  A null text
     stays null and has no lines, a null doc_id counts as the smallest.  Rows that share a
     doc_id are one document: they lose the same line numbers, and none of them counts as
-    the other's copy.  Distinct lines are told apart by 64 bits of XXH64.  All other columns
+    the other's copy.  Lines link within ``reach`` bits.  Distinct lines are told apart by 64 bits of XXH64.  All other columns
     pass through; n_lines and n_removed replace columns of these names.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    gone = repeated_lines(base, blocks).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line_no").alias("gone_lines"))
+    gone = repeated_lines(base, blocks, reach).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line_no").alias("gone_lines"))
     joined = docs.drop("n_lines", "n_removed").join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left")
     cut = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), "gone_lines")
@@ -189,12 +245,12 @@ def dedup_lines(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     )
 
 
-def keep_lines(docs: DataFrame, blocks: int | None = None) -> DataFrame:
+def keep_lines(docs: DataFrame, blocks: int | None = None, reach: int = RADIUS) -> DataFrame:
     """docs with repeated lines cut out; rows whose last word went that way go as well.
 
     n_chars, where docs has it, follows the new text.
     """
-    done = dedup_lines(docs, blocks).where(~((F.col("n_removed") > 0) & (normalised(F.col("text")) == "")))
+    done = dedup_lines(docs, blocks, reach).where(~((F.col("n_removed") > 0) & (normalised(F.col("text")) == "")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kind))

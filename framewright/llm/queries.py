@@ -25,7 +25,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"), reach=line_dedup.REACH)
     return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

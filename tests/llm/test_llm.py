@@ -157,6 +157,29 @@ def test_line_dedup_empty_and_wide(spark):
     assert [len(list(line_dedup.combinations(range(b), b - 3))) for b in (5, 6, 7)] == [10, 20, 35]
 
 
+def test_lines_at_the_least_similarity_link(spark):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 8)))
+    texts, pairs = [], 0
+    for k in range(200):
+        a = [word() for _ in range(6 + k % 30)]
+        b = list(a)
+        while True:
+            more = list(b)
+            more[rnd.randrange(len(more))] = word()
+            x, y = " ".join(a), " ".join(more)
+            if _distance(x, y) > int(0.2 * max(len(x), len(y)) + 1e-9):
+                break
+            b = more
+        if a != b:
+            pairs += 1
+            texts += [" ".join(a), " ".join(b)]
+    texts += ["the cat sat", "the kat sat"]
+    got = by_id(line_dedup.dedup_lines(docs_of(spark, texts), reach=line_dedup.REACH))
+    assert all(got[i].n_removed == 0 for i in range(0, len(texts), 2))
+    assert sum(got[i].n_removed for i in range(1, len(texts), 2)) >= 0.97 * (pairs + 1)
+
+
 def test_blocks_find_every_near_pair(spark):
     rnd = random.Random(1)
     for blocks in (5, 6, 7):
