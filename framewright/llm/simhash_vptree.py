@@ -49,24 +49,28 @@ def majority(h: np.ndarray) -> int:
     return int((ones * 2 > len(h)).astype(np.uint64) @ (np.uint64(1) << np.arange(64, dtype=np.uint64)))
 
 
-def text_fingerprints(column: pa.Array, shingle: int) -> np.ndarray:
+def text_shingles(column: pa.Array, shingle: int):
+    """The shingle hashes of each text in turn, with repeats."""
     words = Words(column)
     digest = xxhash.xxh64_intdigest
-    out = np.zeros(len(column), np.uint64)
     low = LOWER[words.data].tobytes()
     for t in range(len(column)):
         a, b = int(words.first[t]), int(words.first[t + 1])
         if a == b:
+            yield np.zeros(0, np.uint64)
             continue
         flat = b" ".join(low[words.offsets[t] : words.offsets[t + 1]].split())
         size = words.ends[a:b] - words.starts[a:b]
         end = np.cumsum(size + 1) - 1
         if b - a <= shingle:
-            out[t] = fingerprint([flat])
+            yield np.array([digest(flat, 42)], np.uint64)
             continue
         start = (end - size)[: b - a - shingle + 1].tolist()
-        out[t] = majority(np.fromiter((digest(flat[i:j], 42) for i, j in zip(start, end[shingle - 1 :].tolist())), np.uint64, len(start)))
-    return out
+        yield np.fromiter((digest(flat[i:j], 42) for i, j in zip(start, end[shingle - 1 :].tolist())), np.uint64, len(start))
+
+
+def text_fingerprints(column: pa.Array, shingle: int) -> np.ndarray:
+    return np.fromiter((majority(h) for h in text_shingles(column, shingle)), np.uint64, len(column))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:

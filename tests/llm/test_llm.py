@@ -513,6 +513,39 @@ def test_near_duplicates(spark, monkeypatch):
     assert simhash_vptree.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_near_dedup_stage_links_at_shingle_similarity(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+    texts = list(ODD)
+    for k in range(40):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(rnd.randint(3, 150))]
+        for _ in range(4):
+            own = list(base)
+            for _ in range(rnd.randint(0, 4)):
+                own[rnd.randrange(len(own))] = f"v{rnd.randrange(5000)}"
+            texts.append(" ".join(own))
+    rnd.shuffle(texts)
+    sets = []
+    for t in texts:
+        w = [re.sub("[A-Z]+", lambda m: m[0].lower(), x) for x in WORD.findall(t or "")]
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs_of(spark, texts), "").collect()}
+    assert kept == {root(i) for i in range(len(texts))}
+
+
 def test_vantage_search_finds_every_pair(spark):
     rng = np.random.default_rng(2)
     centre = rng.integers(0, 2**63, 300, dtype=np.uint64)
