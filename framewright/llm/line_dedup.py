@@ -1,24 +1,33 @@
 """Fuzzy line dedup with DataFrame operations alone.
 
 Lines are normalised (lower case, runs of anything but letters and digits become one
-blank).  A SimHash of 64 bits is the majority over the hashes of a line's words: the words
-are exploded and 32 sums a line count all 64 bits, two 32-bit counters in a long.  Lines
-link if their SimHashes differ in at most RADIUS bits and their edit similarity is at
-least SIMILARITY; of each connected group the first occurrence stays.
-
-Candidates come from a pigeonhole join: of ``blocks`` blocks of bits two such fingerprints
-share blocks - RADIUS whole ones, and every choice of that many blocks is a join key.
-More blocks mean wider keys and more rows; their number follows the number of distinct
-lines, which changes the work and never the result.  Copies of a line are one node.  In
-each bucket all lines are first held against its most frequent line, which joins dense
-clusters with linear work; only buckets whose lines are then still in different components
-are joined with themselves, so no link is lost and a cluster doesn't make all its pairs.
-
-Few lines at the least edit similarity differ in so few bits as blocks can serve.  With a
-``reach`` above RADIUS, lines are also candidates if they share one of the SKETCH smallest
-hashes of their word pairs (or, in lines of few words, of their character 4-grams) and
-their SimHashes differ in at most ``reach`` bits.  A hash that more than HOT lines share
-is replaced by its pairs with the lines' other hashes.
+blank).  The words of a line are dealt to blocks by their hash, and the SimHash of a block
+is the majority over the hashes of its words.  A SimHash over all words would move about
+nine of 64 bits when one word in ten changes, further than any pigeonhole join can reach;
+dealt out, a changed word disturbs at most two blocks and leaves the others as they are.
+So lines that differ in few words share whole blocks, and each block, or each choice of
+blocks, is a join key:
+
+* up to FEW words: every word is a block, the keys are all choices of all blocks but one
+  (and all of them); in lines of one or two words half of the word left out is in the key;
+* otherwise words of LONG characters or more count (all words, if fewer than three are that
+  long): up to FEW of them as above; below PAIRS of them BLOCKS blocks, and the keys are all
+  choices of two; from there on BLOCKS * 2 ** j blocks, each of six to twelve words a key.
+
+So any two lines that differ in one word, and from FEW counting words on nearly all that
+differ in two, share a key; long lines with scattered edits share one the likelier the
+fewer they are.  Lines whose length is just above a step also have the keys of the step
+below it, so that an inserted word parts no pair.  Keys of fewer than LEAST words are left
+out.  A block takes its words from all over a line, so a passage that many otherwise
+unlike lines share seldom fills one.
+
+Lines link if they share a key, their lengths allow it and their edit similarity is at
+least SIMILARITY; of each connected group the first occurrence stays.  Copies of a line
+are one node.  In each bucket all lines are first held against one of them, its hub, which
+joins dense clusters with linear work; only buckets whose lines are then still in different
+components are joined with themselves, so no link is lost and a cluster doesn't make all
+its pairs.  Hot lines are added up before they are moved, hot keys meet in joins of
+written tables, which Spark can split.
 """
 
 from __future__ import annotations
@@ -31,125 +40,111 @@ from pyspark.sql import functions as F
 from . import store
 from .components import components
 
-RADIUS = 3
-REACH = 24  # bits within which nearly all lines at SIMILARITY lie; unlike ones have 32 on average
 SIMILARITY = 0.8
-SKETCH = 8
-HOT = 32
-FEW = 6  # words up to which character 4-grams count as well
-PARTS = 6  # in which pairs meet their texts one after another, so that less lies on disk at once
-LONG = 9  # characters from which a pair of words is taken before shorter, commoner ones
-LANES = 32
-_MASK = 0x0000000100000001
+FEW = 9  # words up to which each word is a block of its own
+LONG = 4  # characters of the words that count in longer lines
+PAIRS = 36  # counting words below which keys are made of two blocks
+BLOCKS = 6
+LEAST = 3  # words that a key needs
+LANES = 8  # sums a block; each counts four bits in 16 bits of a long
+_MASK = 0x0001000100010001
 
 
 def words_of(line: Column) -> Column:
-    """The normalised line as its words; one split does both."""
+    """The words of a line."""
     return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+", -1), "")
 
 
-def normalised(line: Column) -> Column:
-    return F.array_join(words_of(line), " ")
+def normalised(text: Column) -> Column:
+    """The text in lower case with one blank for each run of anything but letters, digits and line feeds."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, lid, n, fp) of every line with a letter or digit: name, length, SimHash."""
-    cut = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    split = cut.select("doc_id", "line_no", words_of(F.col("line")).alias("words"))
-    named = split.select("doc_id", "line_no", F.xxhash64("words").alias("lid"), F.length(F.array_join("words", " ")).alias("n"), "words")
-    word = named.select("doc_id", "line_no", "lid", "n", F.explode("words").alias("word"))
-    word = word.select("doc_id", "line_no", "lid", "n", F.xxhash64("word", F.lit(17)).alias("h"))
-    sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_MASK))).alias(f"s{k}") for k in range(LANES)]
-    counted = word.groupBy("doc_id", "line_no", "lid", "n").agg(F.count("*").alias("c"), *sums)
-    return counted.select("doc_id", "line_no", "lid", "n", _majority().alias("fp"))
+    """(doc_id, mark, line_no, lid, norm) of every line with a letter or digit; mark names the text, lid the line."""
+    cut = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split(normalised(F.col("text")), "\n", -1)).alias("line_no", "line"))
+    cut = cut.select("doc_id", "mark", "line_no", F.trim("line").alias("norm")).where("norm <> ''")
+    return cut.select("doc_id", "mark", "line_no", F.xxhash64("norm").alias("lid"), "norm")
 
 
-def _majority() -> Column:
-    """Bits set in over half of the c words; bit b is counted in half b // 32 of s[b % 32]."""
-    out = F.lit(0).cast("long")
-    for b in range(64):
-        count = F.shiftrightunsigned(F.col(f"s{b % LANES}"), b // LANES * 32).bitwiseAND(F.lit(0xFFFFFFFF))
-        value = (1 << b) if b < 63 else -(1 << 63)
-        out = out.bitwiseOR(F.when(count * 2 > F.col("c"), F.lit(value).cast("long")).otherwise(F.lit(0).cast("long")))
-    return out
+def _hash(word: Column) -> Column:
+    return F.xxhash64(word, F.lit(17))
 
 
-def block_count(distinct: int) -> int:
-    """Blocks for about this many distinct lines: keys of 25, 32 or 36 bits."""
-    return 5 if distinct < 1 << 23 else 6 if distinct < 1 << 30 else 7
-
-
-def block_keys(fp: Column, blocks: int) -> Column:
-    """Array of all join keys of a fingerprint: each choice of blocks - RADIUS blocks."""
-    edge = [64 * i // blocks for i in range(blocks + 1)]
-    keys = []
-    for number, chosen in enumerate(combinations(range(blocks), blocks - RADIUS)):
-        mask = sum(((1 << (edge[i + 1] - edge[i])) - 1) << edge[i] for i in chosen)
-        mask -= (1 << 64) if mask >> 63 else 0
-        keys.append(F.xxhash64(F.lit(number), fp.bitwiseAND(F.lit(mask).cast("long"))))
-    return F.array(*keys)
-
-
-def sketch(words: Column) -> Column:
-    """Array of the smallest hashes of a line's word pairs, its ends counting as words."""
-    ends = F.concat(F.array(F.lit("")), words, F.array(F.lit("")))
-    top = F.lit(-(1 << 63)).cast("long")
-    sign = lambda h, v, w: F.when(F.length(v) + F.length(w) >= LONG, h.bitwiseOR(top)).otherwise(h.bitwiseAND(F.bitwise_not(top)))
-    pairs = F.zip_with(F.slice(ends, 1, F.size(words) + 1), F.slice(ends, 2, F.size(words) + 1), lambda v, w: sign(F.xxhash64(v, w, F.lit(23)), v, w))
-    chars = F.split(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), "")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(chars) - 3, F.lit(1))), lambda i: F.xxhash64(F.slice(chars, i, 4), F.lit(29)))
-    least = lambda x: F.slice(F.array_sort(F.array_distinct(x)), 1, SKETCH)
-    return F.when(F.size(words) > FEW, least(pairs)).otherwise(F.concat(least(pairs), least(grams)))
-
-
-def sketch_buckets(docs: DataFrame) -> DataFrame:
-    """(key, lid) of the distinct lines that share a key made from their sketches."""
-    cut = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).select(words_of(F.col("line")).alias("words")).where("size(words) > 0")
-    rows = cut.select(F.xxhash64("words").alias("lid"), F.explode(sketch(F.col("words"))).alias("key")).distinct()
-    rows = store.cut(rows.select("key", "lid"), "sketches")
-    shared = store.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "shared")
-    found = store.cut(rows.join(shared, "key").select("key", "lid", "c"), "found")
-    hot = found.where(F.col("c") > HOT).select("lid", F.col("key").alias("other"))
-    finer = hot.join(rows, "lid").where("key <> other")
-    finer = store.cut(finer.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "lid").distinct(), "finer")
-    shared = store.cut(finer.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared")
-    out = found.where(F.col("c") <= HOT).select("key", "lid").unionByName(finer.join(shared, "key").select("key", "lid"))
-    out = store.cut(out, "buckets")
-    for old in (rows, found, finer):
-        store.drop(docs.sparkSession, old)
-    return out
+def _rest(hashes: Column, i: Column) -> Column:
+    """The key of all blocks but the i-th of sorted ones."""
+    return F.xxhash64(F.concat(F.slice(hashes, F.lit(1), i - 1), F.slice(hashes, i + 1, F.size(hashes))), F.lit(19))
 
 
-def _near(fp_a: str, fp_b: str, n_a: str, n_b: str, reach: int) -> Column:
-    near = F.bit_count(F.col(fp_a).bitwiseXOR(F.col(fp_b))) <= reach
-    return near & (F.least(n_a, n_b) >= F.greatest(n_a, n_b) * SIMILARITY)
+def _all_but_one(words: Column) -> Column:
+    """Keys of a line whose words are blocks of their own: all of them, and all but one."""
+    hashes = F.array_sort(F.transform(words, _hash))
+    rest = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: _rest(hashes, i))
+    return F.array_distinct(F.concat(F.array(F.xxhash64(hashes, F.lit(19))), F.when(F.size(words) > 2, rest).otherwise(F.array())))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, parts: int = 1) -> DataFrame:
-    """Of the pairs (a, b) of line names those with like texts; nodes: lid, doc_id, line_no."""
-    near = store.cut(pairs.distinct(), "pairs")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("lid")).distinct().join(nodes.select("lid", "doc_id", "line_no"), "lid")
-    asked = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "lid")).alias("asked"))
-    text = (
-        docs.join(asked, docs["doc_id"].eqNullSafe(asked["doc_id"]))
-        .select(F.split("text", "\n", -1).alias("all"), F.explode("asked").alias("x"))
-        .select(F.col("x.lid").alias("lid"), words_of(F.try_element_at("all", F.col("x.line_no") + 1)).alias("words"))
-        .where("xxhash64(words) = lid")  # rows that share a doc_id may hold other texts
-        .select("lid", F.array_join("words", " ").alias("norm"))
-        .dropDuplicates(["lid"])
-    )
-    text = store.cut(text, "linetexts")
-    x, y = (text.select(F.col("lid").alias(k), F.col("norm").alias(t)) for k, t in (("a", "x"), ("b", "y")))
-    out = None
-    for part in range(parts):
-        some = near if parts == 1 else near.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == part)
-        done = store.cut(alike(some.join(x, "a").join(y, "b")).select("a", "b"), "links")
-        out = done if out is None else out.unionByName(done)
-    for old in (near, text):
-        store.drop(docs.sparkSession, old)
+def _halves(words: Column) -> Column:
+    """Keys of a line of one or two words: one word is out, but for its first or last half."""
+
+    def of(word: Column, i: Column) -> Column:
+        other = F.filter(words, lambda w, k: k != i)
+        size = F.length(word)
+        halves = [F.floor((size - less) / 2).cast("int") for less in (0, 1)]
+        ends = [(half, side) for half in halves for side in (1, 2)]
+        cut = lambda half, side: F.substring(word, F.lit(1), half) if side == 1 else F.right(word, half)
+        return F.array(*(F.when(half > 0, F.xxhash64(other, F.lit(side), cut(half, side))) for half, side in ends))
+
+    return F.array_distinct(F.array_compact(F.flatten(F.transform(words, of))))
+
+
+def _blocks(n: Column) -> Column:
+    """Blocks of a line of n counting words whose keys are single blocks; 0 below PAIRS."""
+    steps = F.floor(F.log2(F.greatest(n, F.lit(PAIRS)) / PAIRS))
+    return F.when(n < PAIRS, F.lit(0)).otherwise(F.lit(BLOCKS) * F.pow(F.lit(2), steps)).cast("int")
+
+
+def _majority() -> Column:
+    """Bits set in over half of the c words; s0..s7 count four bits each, in 16 bits."""
+    out = F.lit(0).cast("long")
+    for k in range(LANES):
+        for lane in range(4):
+            count = F.shiftrightunsigned(F.col(f"s{k}"), 16 * lane).bitwiseAND(F.lit(0xFFFF))
+            out = out.bitwiseOR(F.when(count * 2 > F.col("c"), F.lit(1 << (4 * k + lane)).cast("long")).otherwise(F.lit(0).cast("long")))
     return out
 
 
+def line_keys(nodes: DataFrame) -> DataFrame:
+    """(key, lid) of the distinct lines (lid, norm): all join keys of their fingerprints."""
+    lines = nodes.select("lid", F.split("norm", " ").alias("words"))
+    long = F.filter("words", lambda w: F.length(w) >= LONG)
+    lines = lines.withColumn("counting", F.when(F.size(long) >= LEAST, long).otherwise(F.col("words")))
+    size, n = F.size("words"), F.size("counting")
+    none = F.array().cast("array<long>")
+    few = F.concat(
+        F.when(size <= FEW, _all_but_one(F.col("words"))).otherwise(none),
+        F.when(size <= 2, _halves(F.col("words"))).otherwise(none),
+        F.when((size >= FEW) & (n <= FEW), _all_but_one(F.col("counting"))).otherwise(none),
+    )
+    short = lines.where((size <= FEW) | (n <= FEW)).select(F.explode(few).alias("key"), "lid")
+    # rows of one line stay in one task, so that its blocks are counted without another exchange
+    more = lines.where((size >= FEW) & (n >= FEW - 1)).repartition("lid")
+    above = F.floor(n / 1.125).cast("int")
+    steps = F.array_distinct(F.array(_blocks(n), _blocks(above)))
+    word = more.select("lid", F.explode(steps).alias("blocks"), "counting").select("lid", "blocks", F.explode("counting").alias("word"))
+    word = word.select("lid", "blocks", _hash(F.col("word")).alias("h"))
+    place = F.pmod("h", F.when(F.col("blocks") == 0, BLOCKS).otherwise(F.col("blocks"))).cast("int")
+    sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_MASK))).alias(f"s{k}") for k in range(LANES)]
+    block = word.groupBy("lid", "blocks", place.alias("place")).agg(F.count("*").alias("c"), *sums)
+    block = block.select("lid", "blocks", F.floor(F.col("place") / BLOCKS).alias("group"), (F.col("place") % BLOCKS).alias("slot"), "c", _majority().alias("fp"))
+    each = [F.max(F.when(F.col("slot") == i, F.col(x))).alias(f"{x}{i}") for i in range(BLOCKS) for x in ("c", "fp")]
+    group = block.groupBy("lid", "blocks", "group").agg(*each)
+    c = [F.coalesce(f"c{i}", F.lit(0)) for i in range(BLOCKS)]
+    one = [F.when(c[i] >= LEAST, F.xxhash64("blocks", F.col("group") * BLOCKS + i, f"fp{i}")) for i in range(BLOCKS)]
+    two = [F.when(c[i] + c[j] >= LEAST, F.xxhash64(F.lit(i), F.lit(j), F.coalesce(f"fp{i}", F.lit(0)), F.coalesce(f"fp{j}", F.lit(0)))) for i, j in combinations(range(BLOCKS), 2)]
+    keys = F.when(F.col("blocks") == 0, F.array(*two)).otherwise(F.array(*one))
+    return group.select(F.explode(F.array_compact(keys)).alias("key"), "lid").unionByName(short)
+
+
 def alike(pairs: DataFrame) -> DataFrame:
     """Rows whose normalised lines x and y have an edit similarity of at least SIMILARITY.
 
@@ -176,82 +171,116 @@ def alike(pairs: DataFrame) -> DataFrame:
     return out.where(F.expr("levenshtein(_m.p, _m.q, _m._most) >= 0")).select(*pairs.columns)
 
 
-def links(nodes: DataFrame, docs: DataFrame, blocks: int | None = None, reach: int = RADIUS) -> DataFrame:
-    """Edges (a, b) that connect every pair of distinct lines within the limits (beyond RADIUS, every candidate pair)."""
-    blocks = blocks or block_count(nodes.count())
-    rows = nodes.select("lid", F.explode(block_keys(F.col("fp"), blocks)).alias("key"))
-    shared = store.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared")
-    busy = store.cut(rows.join(shared, "key"), "buckets")  # few: most buckets have one line
-    buckets, parts = [busy], 1
-    if reach > RADIUS:
-        buckets, parts = [busy, sketch_buckets(docs)], PARTS
-        busy = busy.select("key", "lid").unionByName(buckets[1])
-    busy = store.cut(busy.join(nodes.select("lid", "n", "fp", "copies"), "lid"), "figures")
-    for old in buckets:
-        store.drop(docs.sparkSession, old)
-    # the most frequent line of each bucket
-    hub = [F.max_by(c, "copies").alias(f"hub_{c}") for c in ("lid", "n", "fp")]
-    near_hub = busy.join(store.cut(busy.groupBy("key").agg(*hub), "hubs"), "key")
-    near_hub = near_hub.where("lid <> hub_lid").where(_near("fp", "hub_fp", "n", "hub_n", reach))
-    first = verified(near_hub.select(F.col("lid").alias("a"), F.col("hub_lid").alias("b")), nodes, docs, parts)
-    names = components(first)
-    named = busy.select("key", "lid", "n", "fp").join(names.withColumnRenamed("node", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
-    named = store.cut(named, "named")
-    store.drop(docs.sparkSession, busy)
-    mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    left = named.join(mixed, "key", "left_semi")
-    side = {s: left.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("lid", "n", "fp", "component"))) for s in "ab"}
-    pairs = side["a"].join(side["b"], "key").where("component_a < component_b").where(_near("fp_a", "fp_b", "n_a", "n_b", reach))
-    pairs = pairs.select(F.col("lid_a").alias("a"), F.col("lid_b").alias("b"))
-    return first.unionByName(verified(pairs, nodes, docs, parts))
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) of line names, a < b, those with like texts; texts: lid, norm."""
+    near = store.cut(pairs.distinct(), "pairs")
+    x, y = (texts.select(F.col("lid").alias(k), F.col("norm").alias(t)) for k, t in (("a", "x"), ("b", "y")))
+    out = store.cut(alike(near.join(x, "a").join(y, "b")).select("a", "b"), "links")
+    store.drop(pairs.sparkSession, near)
+    return out
 
 
-def repeated_lines(docs: DataFrame, blocks: int | None = None, reach: int = RADIUS) -> DataFrame:
-    """(doc_id, line_no) of every line that goes."""
+def _fits(n: str, m: str) -> Column:
+    return F.least(n, m) >= F.greatest(n, m) * SIMILARITY
+
+
+def links(nodes: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect every pair of linked lines; nodes: lid, norm, all distinct."""
+    spark = nodes.sparkSession
+    keys = store.cut(line_keys(nodes), "keys")
+    shared = keys.groupBy("key").agg(F.min("lid").alias("hub"), F.max("lid").alias("top")).where("hub < top").select("key", "hub")
+    shared = store.cut(shared, "shared")
+    busy = store.cut(keys.join(shared, "key"), "busy")  # few: most keys are one line's
+    store.drop(spark, keys)
+    store.drop(spark, shared)
+    texts = store.cut(nodes.select("lid", "norm").join(busy.select("lid").distinct(), "lid", "left_semi"), "linetexts")
+    sizes = texts.select("lid", F.length("norm").alias("n"))
+    near_hub = busy.where("lid <> hub").select("hub", "lid").distinct()
+    near_hub = near_hub.join(sizes, "lid").join(sizes.select(F.col("lid").alias("hub"), F.col("n").alias("m")), "hub").where(_fits("n", "m"))
+    first = _verified(near_hub.select(F.col("hub").alias("a"), F.col("lid").alias("b")), texts)
+    names = components(first)
+    named = busy.select("key", "lid").join(names.withColumnRenamed("node", "lid"), "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+    named = store.cut(named, "named")
+    store.drop(spark, busy)
+    mixed = store.cut(named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key"), "mixed")
+    left = store.cut(named.join(mixed, "key").join(sizes, "lid"), "unlike")
+    side = {s: left.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("lid", "n", "component"))) for s in "ab"}
+    pairs = side["a"].join(side["b"], "key").where("component_a < component_b").where(_fits("n_a", "n_b"))
+    pairs = pairs.select(F.least("lid_a", "lid_b").alias("a"), F.greatest("lid_a", "lid_b").alias("b"))
+    second = _verified(pairs, texts)
+    for old in (named, mixed, left, texts):
+        store.drop(spark, old)
+    return first.unionByName(second)
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, line_no) of every line that goes."""
+    spark = docs.sparkSession
     seen = store.cut(occurrences(docs), "lines")
-    nodes = seen.groupBy("lid", "n", "fp").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "line_no")).alias("f"))
-    # equal names are one node even if (by a 64-bit accident) other figures differ
-    nodes = nodes.groupBy("lid").agg(F.min("n").alias("n"), F.min("fp").alias("fp"), F.sum("copies").alias("copies"), F.min("f").alias("f"))
-    nodes = store.cut(nodes.select("lid", "n", "fp", "copies", "f.doc_id", "f.line_no"), "nodes")
-    names = components(links(nodes, docs, blocks, reach)).withColumnRenamed("node", "lid")
-    grouped = nodes.join(names, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
-    kept = grouped.groupBy("component").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc_id", "line_no")).alias("f")).where("copies > 1").drop("copies")
-    lookup = grouped.select("lid", "component").join(kept, "component").select("lid", "f")
-    gone = seen.select("lid", "doc_id", "line_no").join(lookup, "lid")
-    return store.cut(gone.where(~F.struct("doc_id", "line_no").eqNullSafe(F.col("f"))).select("doc_id", "line_no"), "gone")
-
-
-def dedup_lines(docs: DataFrame, blocks: int | None = None, reach: int = RADIUS) -> DataFrame:
+    place = F.struct("doc_id", "mark", "line_no")
+    # added up in each task first: a line that holds a third of all rows moves once a task
+    nodes = store.cut(seen.groupBy("lid").agg(F.min(place).alias("f"), F.first("norm").alias("norm")), "nodes")
+    slim = store.cut(seen.drop("norm"), "occurrences")
+    store.drop(spark, seen)
+    edges = links(nodes.select("lid", "norm"))
+    names = components(edges).withColumnRenamed("node", "lid")
+    grouped = store.cut(nodes.select("lid", "f").join(names, "lid", "left").withColumn("component", F.coalesce("component", "lid")), "grouped")
+    store.drop(spark, nodes)
+    kept = store.cut(grouped.groupBy("component").agg(F.min("f").alias("kept")), "kept")
+    lookup = store.cut(grouped.join(kept, "component").select("lid", "kept"), "lookup")
+    gone = slim.join(lookup, "lid").where(~place.eqNullSafe(F.col("kept"))).select("doc_id", "mark", "line_no").distinct()
+    gone = store.cut(gone, "gone")
+    for old in (slim, grouped, kept, lookup):
+        store.drop(spark, old)
+    return gone
+
+
+def _fresh(name: str, taken: list[str]) -> str:
+    """A column name that none of these has, whatever their case."""
+    low = {c.lower() for c in taken}
+    while name in low:
+        name += "_"
+    return name
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """The rows of docs with repeated lines cut out of text, and n_lines, n_removed.
 
     Lines end at line feeds; those without a letter or digit always stay.  Of each group
-    of linked lines the occurrence of the smallest (doc_id, line number) stays.  A null text
-    stays null and has no lines, a null doc_id counts as the smallest.  Rows that share a
-    doc_id are one document: they lose the same line numbers, and none of them counts as
-    the other's copy.  Lines link within ``reach`` bits.  Distinct lines are told apart by 64 bits of XXH64.  All other columns
-    pass through; n_lines and n_removed replace columns of these names.
+    of linked lines the occurrence of the smallest (doc_id, hash of the text, line number)
+    stays.  A null text stays null and has no lines, an empty one has one; a null doc_id
+    counts as the smallest.  Rows that share doc_id and text are one document: they lose
+    the same lines, and none of them counts as the other's copy; rows that share a doc_id
+    alone are different documents.  Distinct lines and texts are told apart by 64 bits of
+    XXH64.  All other columns pass through, whatever their names; n_lines and n_removed
+    replace columns of these names.  An empty table gives an empty one.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    gone = repeated_lines(base, blocks, reach).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line_no").alias("gone_lines"))
-    joined = docs.drop("n_lines", "n_removed").join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left")
-    cut = F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), "gone_lines")
-    text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(cut, i + 1)), "\n"))
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    names = {k: _fresh(k, docs.columns) for k in ("gone_id", "gone_mark", "gone_lines")}
+    gone = repeated_lines(base).groupBy(F.col("doc_id").alias(names["gone_id"]), F.col("mark").alias(names["gone_mark"]))
+    gone = gone.agg(F.collect_set("line_no").alias(names["gone_lines"]))
+    columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    docs = docs.select(*columns)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(names["gone_id"])) & (F.xxhash64(F.col("text").cast("string")) == F.col(names["gone_mark"]))
+    joined = docs.join(gone, same, "left")
+    lines, cut = F.col(names["gone_lines"]), F.split("text", "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), lines)
+    text = F.when(lines.isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(cut, i + 1)), "\n"))
+    count = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return joined.select(
-        *(text.alias("text") if c == "text" else F.col(c) for c in columns),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(cut)).cast("long").alias("n_lines"),
-        F.when(F.col("gone_lines").isNull(), 0).otherwise(F.size(cut) - F.size(kept)).cast("long").alias("n_removed"),
+        *(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in columns),
+        F.coalesce(count, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
-def keep_lines(docs: DataFrame, blocks: int | None = None, reach: int = RADIUS) -> DataFrame:
+def keep_lines(docs: DataFrame) -> DataFrame:
     """docs with repeated lines cut out; rows whose last word went that way go as well.
 
     n_chars, where docs has it, follows the new text.
     """
-    done = dedup_lines(docs, blocks, reach).where(~((F.col("n_removed") > 0) & (normalised(F.col("text")) == "")))
+    done = dedup_lines(docs).where(~((F.col("n_removed") > 0) & ~F.col("text").rlike(r"[\p{L}\p{N}]")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         done = done.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return done.select(*docs.columns)
+    return done.select(*(F.col(f"`{c}`") for c in docs.columns))
