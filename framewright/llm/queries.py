@@ -87,11 +87,11 @@ def queries() -> dict:
 _SQL_WARC = """
 WITH base AS (
   SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest
-  FROM pages WHERE page_id IS NOT NULL
+  FROM pages
 ), kept AS (SELECT digest, n, max(page_id) AS kept FROM base WHERE n >= 1000 GROUP BY digest, n)
 SELECT page_id, n::BIGINT AS payload_bytes, base.digest AS payload_digest,
-       CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN kept <> page_id THEN kept END AS refers_to
+       CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM kept THEN kept END AS refers_to
 FROM base LEFT JOIN kept USING (digest, n)
 """
 

@@ -151,7 +151,7 @@ def directory(read_at, size: int) -> dict[str, tuple[int, int, int]]:
 # ---------------------------------------------------------------- WARC records
 
 
-def record_bytes(page_id: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One gzip member: a response, or a revisit of the record ``refers_to``."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
@@ -159,7 +159,7 @@ def record_bytes(page_id: int, url: str | None, payload: bytes, digest: str, ref
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:x-page:{page_id}>",
+        f"WARC-Record-ID: <urn:x-page:{'' if page_id is None else page_id}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}",
@@ -187,8 +187,9 @@ def parse_record(member: bytes) -> dict:
     return {"head": head, "payload": payload, "length": int(fields["content-length"])}
 
 
-def _urn(text: str) -> int:
-    return int(text.rsplit(":", 1)[1].rstrip(">"))
+def _urn(text: str) -> int | None:
+    number = text.rsplit(":", 1)[1].rstrip(">")
+    return int(number) if number else None
 
 
 # ---------------------------------------------------------------- Spark jobs
@@ -198,18 +199,21 @@ def with_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
     """Adds digest and refers_to: of equal payloads of ``least`` bytes or more the largest page_id is kept."""
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
-    ).where("page_id is not null")
+    )
     base = base.withColumn("digest", F.sha1(F.encode("html", "UTF-8"))).withColumn("n", F.octet_length("html"))
-    kept = base.where(F.col("n") >= least).groupBy("digest", "n").agg(F.max("page_id").alias("kept"), F.count("*").alias("c")).where("c > 1").drop("c")
+    kept = base.where(F.col("n") >= least).groupBy("digest", "n").agg(F.max("page_id").alias("kept"), F.count("*").alias("c")).where("c > 1 and kept is not null").drop("c")
+    # written first: a join of two plain exchanges is one whose hot payloads Spark can split
+    kept = store.cut(kept, "kept")
     revisits = (
         base.where(F.col("n") >= least)
-        .select("page_id", "digest", "n")
-        .join(kept, ["digest", "n"])
-        .where("page_id <> kept")
-        .select("page_id", F.col("kept").alias("refers_to"))
+        .select(F.col("page_id").alias("own_id"), F.col("digest").alias("own_digest"), F.col("n").alias("own_n"))
+        .join(kept, (F.col("own_digest") == F.col("digest")) & (F.col("own_n") == F.col("n")))
+        .where(~F.col("own_id").eqNullSafe(F.col("kept")))
+        .select("own_id", "own_digest", "own_n", F.col("kept").alias("refers_to"))
         .distinct()
     )
-    return base.drop("n").join(revisits, "page_id", "left")
+    same = F.col("page_id").eqNullSafe(F.col("own_id")) & (F.col("digest") == F.col("own_digest")) & (F.col("n") == F.col("own_n"))
+    return base.join(revisits, same, "left").select("page_id", "url", "html", "digest", "refers_to")
 
 
 def write_packages(rows: DataFrame, folder: str, zip64: bool = False, most: int = 64 << 20) -> DataFrame:
@@ -229,7 +233,7 @@ def write_packages(rows: DataFrame, folder: str, zip64: bool = False, most: int
                     z.begin(ARCHIVE)
                 payload = (row["html"] or "").encode()
                 member = record_bytes(row["page_id"], row["url"], payload, row["digest"], row["refers_to"])
-                index.append(f"{row['page_id']:020d} {json.dumps({'offset': z.at - z.data_at, 'length': len(member), 'filename': ARCHIVE})}\n")
+                index.append(f"{-1 if row['page_id'] is None else row['page_id']:020d} {json.dumps({'offset': z.at - z.data_at, 'length': len(member), 'filename': ARCHIVE})}\n")
                 z.write(member)
                 if z.at >= most:
                     made.append(_finish(z, index, out, name))
@@ -252,6 +256,66 @@ def _finish(z: StoredZip, index: list[str], out, name: str) -> tuple[str, int]:
     return name, len(index)
 
 
+def record_ranges(read_at, size: int) -> list[tuple[int, int]]:
+    """(place, length) in the package of every record of its stored archive members.
+
+    Indexes (``indexes/``, JSON lines; plain or gzip, stored or deflated) say where the
+    records are; an archive member that no index line names is walked through instead, gzip
+    member by gzip member.  What can't be read that way is an error, never left out.
+    """
+    members = directory(read_at, size)
+    archives = {k: m for k, m in members.items() if k.startswith("archive/") and k.endswith((".warc", ".warc.gz"))}
+    if not archives:
+        raise ZipError("no archive member")
+    for name, (method, _, _) in archives.items():
+        if method or not name.endswith(".gz"):
+            raise ZipError(f"{name} is not a stored file of gzip members")
+    ranges, named = [], set()
+    for member, (method, at, n) in members.items():
+        if not (member.startswith("indexes/") and member.endswith((".cdxj", ".cdx", ".cdxj.gz", ".cdx.gz"))):
+            continue
+        if method not in (0, 8):
+            raise ZipError(f"{member}: compression method {method}")
+        raw = read_at(at, n)
+        raw = zlib.decompress(raw, -15) if method else raw
+        raw = gzip.decompress(raw) if member.endswith(".gz") else raw
+        for line in raw.decode().splitlines():
+            if not line.strip() or line.startswith("!"):
+                continue
+            if "{" not in line:
+                raise ZipError(f"{member} has lines without JSON")
+            entry = json.loads(line[line.index("{") :])
+            name = entry["filename"] if entry["filename"] in archives else f"archive/{entry['filename']}"
+            offset, length = int(entry["offset"]), int(entry["length"])
+            if name not in archives or offset + length > archives[name][2]:
+                raise ZipError(f"{entry['filename']} is not stored whole")
+            named.add(name)
+            ranges.append((archives[name][1] + offset, length))
+    for name in archives.keys() - named:
+        ranges += walk_members(read_at, archives[name][1], archives[name][2])
+    return sorted(ranges)
+
+
+def walk_members(read_at, at: int, size: int, step: int = 1 << 20) -> list[tuple[int, int]]:
+    """(place, length) of each gzip member of the ``size`` bytes from ``at`` on."""
+    out, begin, place, stop = [], at, at, at + size
+    unpack, rest = zlib.decompressobj(31), b""
+    while place < stop or rest:
+        if not rest:
+            rest = read_at(place, min(step, stop - place))
+            place += len(rest)
+        unpack.decompress(rest)
+        rest = b""
+        if unpack.eof:
+            rest = unpack.unused_data
+            out.append((begin, place - len(rest) - begin))
+            begin = place - len(rest)
+            unpack = zlib.decompressobj(31)
+    if begin != stop:
+        raise ZipError("an archive member ends within a record")
+    return out
+
+
 def locate(packages: DataFrame, folder: str, group: int = 256) -> DataFrame:
     """packages (name): byte ranges of all records, ``group`` of them a row (name, offsets, lengths)."""
 
@@ -260,18 +324,7 @@ def locate(packages: DataFrame, folder: str, group: int = 256) -> DataFrame:
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 with fs.open_input_file(f"{root}/{name}") as f:
-                    members = directory(lambda at, n: f.read_at(n, at), f.size())
-                    ranges = []
-                    for member, (method, at, size) in members.items():
-                        if not (member.startswith("indexes/") and member.endswith((".cdxj", ".cdx"))) or method != 0:
-                            continue
-                        for line in f.read_at(size, at).decode().splitlines():
-                            entry = json.loads(line[line.index("{") :])
-                            kind, base, stored = members[entry["filename"]]
-                            if kind != 0 or entry["offset"] + entry["length"] > stored:
-                                raise ZipError(f"{entry['filename']} is not stored whole")
-                            ranges.append((base + entry["offset"], entry["length"]))
-                ranges.sort()
+                    ranges = record_ranges(lambda at, n: f.read_at(n, at), f.size())
                 for i in range(0, len(ranges), group):
                     part = ranges[i : i + group]
                     yield pa.RecordBatch.from_pydict(
@@ -325,10 +378,10 @@ def read_back(spark: SparkSession, folder: str, packages: DataFrame, with_payloa
 def round_trip(pages: DataFrame, least: int = 1000) -> DataFrame:
     """One row per page: what its record says when it is read back from the packages.
 
-    Null html is an empty payload (always a response), a null url is about:blank.  Rows
-    with a null page_id name no record and are left out; repeated page_ids give a record
-    each (a repeat of the kept page itself stays a response).  Other columns are ignored;
-    an empty table gives no packages and no rows.
+    Null html is an empty payload (always a response), a null url is about:blank.  Every row
+    gets a record of its own, repeated page_ids and null ones too: of equal payloads all
+    records but those with the largest page_id refer to that one (none does where all ids
+    are null).  Other columns are ignored; an empty table gives no packages and no rows.
     """
     folder, packages = archive(pages, least=least)
     return read_back(pages.sparkSession, folder, packages).drop("url")
