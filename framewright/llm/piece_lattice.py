@@ -2,15 +2,18 @@
 
 The lattice has an edge for every piece of the vocabulary that matches, and one for a
 code point that no piece covers (its UTF-8 bytes as byte pieces).  Blanks and line feeds
-cut a text into units: a unit is an optional blank and what follows it, or a line feed;
-no piece spans a cut.  The score of a piece falls with its rank r in the vocabulary's
-merge order as -log(r + 3), a byte costs more than any piece.
+cut a text into units: a unit is a run of blanks with what follows it, or a line feed; no
+piece spans a cut.  The vocabulary file holds merge ranks, no probabilities: the score of a
+piece of rank r is -log(r + 3), or with ``scores="model"`` the file's own figure, -r; a byte
+costs more than any piece.  Best segmentations are those of these scores, so they need not
+be what the library's merges give; decoding agrees with the library's.
 
 A forward pass gives the best score of every prefix of every distinct unit, for many
 units of one length at once, along with the runner-up.  These scores are the exact
 heuristic of a backward A* search: partial paths grow from the unit's end, and the search
 takes the partial path whose own score plus the forward score of what is left is largest,
-so paths leave it best first.  A text's n best segmentations differ from the best one only
+so paths leave it best first.  As that sum is the score of a whole path of its own, no more
+than n partial paths are ever kept, and they share their tails.  A text's n best segmentations differ from the best one only
 in units with the n - 1 smallest gaps to their runner-up, so only those units are searched.
 """
 
@@ -33,12 +36,12 @@ from .words import chunks
 SPACE = "▁"
 BEST = 4
 LONG = 40  # code points from which a unit is scored alone
-_UNIT = re.compile(r"\n| ?[^ \n]+| ")
+_UNIT = re.compile(r"\n| *[^ \n]+| +")
 _SLOTS = 1 << 20
 
 
 class Vocabulary:
-    def __init__(self, path: str):
+    def __init__(self, path: str, scores: str = "rank"):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -55,9 +58,9 @@ class Vocabulary:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 surface = piece.replace(SPACE, " ")
                 self.text[i] = surface.encode()
-                if " " not in surface[1:] and "\n" not in surface:
+                if " " not in surface.lstrip(" ") and "\n" not in surface:  # others span a cut
                     self.id[surface] = i
-                    self.score[surface] = -float(np.log(-sp.get_score(i) + 3))
+                    self.score[surface] = float(sp.get_score(i)) if scores == "model" else -float(np.log(-sp.get_score(i) + 3))
         self.byte_score = min(self.score.values()) - 4.0
         self.longest = max(map(len, self.id))
         pieces = list(self.id)
@@ -106,8 +109,10 @@ def _hash_text(text: str) -> int:
 
 
 @lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+def vocabulary(path: str, scores: str = "rank") -> Vocabulary:
+    if scores not in ("rank", "model"):
+        raise ValueError("scores are 'rank' or 'model'")
+    return Vocabulary(path, scores)
 
 
 def _utf8(code: np.ndarray) -> np.ndarray:
@@ -171,6 +176,13 @@ class Units:
                 who = order[a:b]
                 self.score[who], self.gap[who] = best[:, size], best[:, size] - second
                 live, pos = np.arange(b - a), np.full(b - a, size)
+                if size > LONG:
+                    live, ends = live[:0], _ends(came[0], size)
+                    start = np.concatenate([[0], ends[:-1]])
+                    number = edge[0, ends].astype(np.int64)
+                    rows.append(np.full(len(ends), who[0]))
+                    places.append(start)
+                    numbers.append(np.where(number == len(v.ids), -1 - block[0, start].astype(np.int64), number))
                 while len(live):
                     start = came[live, pos]
                     rows.append(who[live])
@@ -230,30 +242,51 @@ def _numbers(v: Vocabulary) -> dict[str, int]:
     return {p: k for k, p in enumerate(v.id)}
 
 
+def _ends(came: np.ndarray, size: int) -> np.ndarray:
+    """Ends of the edges of the best path, in order."""
+    out, came = [], came.tolist()
+    while size:
+        out.append(size)
+        size = came[size]
+    return np.array(out[::-1], np.int64)
+
+
 def n_best(unit: str, v: Vocabulary, n: int) -> list[tuple[float, list[int]]]:
     """The n best segmentations (score, ids) of a unit, best first, by backward A*.
 
-    Equal scores are ordered by the ids from the end on.
+    Equal scores are ordered by the ids from the end on.  The open paths are kept in the
+    order of their tails; a path is (estimate, place, score, (ids, path after it)).
     """
     best = _forward_one(unit, v)[0][0].tolist()
-    heap: list[tuple[float, tuple[int, ...], int, float]] = [(-best[-1], (), len(unit), 0.0)]
+    paths: list[tuple[float, int, float, tuple | None]] = [(best[-1], len(unit), 0.0, None)]
     out = []
-    while heap and len(out) < n:
-        _, tail, at, score = heapq.heappop(heap)
+    while paths and len(out) < n:
+        k = max(range(len(paths)), key=lambda i: (paths[i][0], -i))
+        _, at, score, tail = paths.pop(k)
         if at == 0:
-            out.append((score, list(reversed(tail))))
+            ids = []
+            while tail:
+                ids += tail[0]
+                tail = tail[1]
+            out.append((score, ids))
             continue
+        more = []
         for i in range(max(0, at - v.longest), at):
             piece = unit[i:at]
             value = v.score.get(piece)
             if value is not None:
-                ids: tuple[int, ...] = (v.id[piece],)
+                ids = [v.id[piece]]
             elif at - i == 1:
                 raw = _char(ord(piece))
-                value, ids = v.byte_score * len(raw), tuple(int(v.byte[b]) for b in reversed(raw))
+                value, ids = v.byte_score * len(raw), [int(v.byte[b]) for b in raw]
             else:
                 continue
-            heapq.heappush(heap, (-(score + value + best[i]), tail + ids, i, score + value))
+            more.append((score + value + best[i], i, score + value, (ids, tail)))
+        more.sort(key=lambda p: p[3][0][::-1])
+        paths[k:k] = more
+        if len(paths) > n - len(out):  # each stands for a whole path of its own
+            keep = sorted(sorted(range(len(paths)), key=lambda i: (-paths[i][0], i))[: n - len(out)])
+            paths = [paths[i] for i in keep]
     return out
 
 
@@ -278,9 +311,9 @@ def split(text: str) -> list[str]:
     return _UNIT.findall(" " + text) if text else []
 
 
-def encode(texts: list[str], path: str, n: int = BEST) -> list[list[tuple[float, np.ndarray]]]:
+def encode(texts: list[str], path: str, n: int = BEST, scores: str = "rank") -> list[list[tuple[float, np.ndarray]]]:
     """For each text its n best (score, ids), best first; an empty text has the empty one."""
-    v = vocabulary(path)
+    v = vocabulary(path, scores)
     cut = [split(t) for t in texts]
     flat_units = list(chain.from_iterable(cut))
     distinct = list(dict.fromkeys(flat_units))
@@ -332,7 +365,7 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(np.asarray(ids).astype("<u4").tobytes())
 
 
-def segment(docs: DataFrame, path: str, n: int = BEST, with_ids: bool = False) -> DataFrame:
+def segment(docs: DataFrame, path: str, n: int = BEST, with_ids: bool = False, scores: str = "rank") -> DataFrame:
     """One row for each row of docs (doc_id, text).
 
     n_tokens, ids_crc32 and score of the best segmentation, decodes (its ids give the text
@@ -348,7 +381,7 @@ def segment(docs: DataFrame, path: str, n: int = BEST, with_ids: bool = False) -
         for batch in batches:
             for part in chunks(batch, "text"):
                 texts = part.column(1).fill_null("").to_pylist()
-                found = encode(texts, path, n)
+                found = encode(texts, path, n, scores)
                 best = [x[0][1] for x in found]
                 cols = [
                     part.column(0),
