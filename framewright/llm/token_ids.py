@@ -36,6 +36,7 @@ MAGIC = b"S8BIDS01"
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = 60 // COUNTS
 ESCAPE = 15
+_DISPUTED = "\u0370"  # from here on words go to the library whole
 _FOOTER = "<QQQ8s"
 _NULL_ID = -(2**63)
 
@@ -199,7 +200,8 @@ class WordEncoder:
 
     The vocabulary drops white space, lower-cases and has no token that spans white space,
     so a text's ids are those of its pieces in order.  A-Z are lowered first to meet fewer
-    pieces (not where control strings may be, as those match the text as written).  The
+    pieces (not where control strings may be, as those match the text as written, nor where
+    combining marks are, as the library composes letters with them before it lowers).  The
     memory of pieces lasts as long as the worker process and is emptied at ``most`` entries.
     """
 
@@ -232,11 +234,12 @@ class WordEncoder:
         words = [p.decode() for p in pieces]
         stems = [w.rstrip(TAIL) for w in words]
         known = self.known
-        plain = [s for s in {s for s in stems if s.isalpha()} if s.encode() not in known]
-        tails = list({w[len(s) :] for w, s in zip(words, stems) if s.isalpha() and len(w) > len(s)})
+        letters = list(map(_letters, stems))
+        plain = [s for s in {s for s, ok in zip(stems, letters) if ok} if s.encode() not in known]
+        tails = list({w[len(s) :] for w, s, ok in zip(words, stems, letters) if ok and len(w) > len(s)})
         tails = [t for t in tails if t.encode() not in known]
         fresh = set(tails)
-        rest = [w for w, s in zip(words, stems) if not s.isalpha() and w not in fresh]
+        rest = [w for w, ok in zip(words, letters) if not ok and w not in fresh]
         for i in range(0, len(plain), 4000):
             part = plain[i : i + 4000]
             self._enter(part, *self._alphabetic(part))
@@ -277,7 +280,7 @@ class WordEncoder:
     def texts(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids a text, all ids), with the end id after each text."""
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
-        as_is = pc.match_substring(column, "<|")
+        as_is = pc.match_substring_regex(column, r"<\||\pM")
         column = pc.if_else(as_is, column, pc.ascii_lower(column))
         split = pc.ascii_split_whitespace(column)
         words = split.flatten().dictionary_encode()
@@ -299,6 +302,11 @@ class WordEncoder:
         return np.diff(close, prepend=0) + 1, np.insert(ids, close, END_ID)
 
 
+def _letters(stem: str) -> bool:
+    """Only letters, lowered too, of scripts whose letters no Unicode version disputes."""
+    return stem.isalpha() and (stem.isascii() or (max(stem) < _DISPUTED and stem.lower().isalpha()))
+
+
 def _room(x: np.ndarray, n: int) -> np.ndarray:
     return x if n <= len(x) else np.concatenate([x, np.zeros(max(n - len(x), len(x)), x.dtype)])
 
