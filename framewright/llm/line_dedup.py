@@ -10,8 +10,8 @@ blocks, is a join key:
 
 * up to FEW words: every word is a block, the keys are all choices of all blocks but one
   (and all of them); in lines of one or two words half of the word left out is in the key;
-* otherwise words of LONG characters or more count (all words, if fewer than three are that
-  long): up to FEW of them as above; below PAIRS of them BLOCKS blocks, and the keys are all
+* otherwise distinct words of LONG characters or more count (all words, if fewer than three
+  are that long): up to FEW of them as above; below PAIRS of them BLOCKS blocks, and the keys are all
   choices of two; from there on BLOCKS * 2 ** j blocks, each of six to twelve words a key.
 
 So any two lines that differ in one word, and from FEW counting words on nearly all that
@@ -127,7 +127,7 @@ def line_keys(nodes: DataFrame) -> DataFrame:
     )
     short = lines.where((size <= FEW) | (n <= FEW)).select(F.explode(few).alias("key"), "lid")
     # rows of one line stay in one task, so that its blocks are counted without another exchange
-    more = lines.where((size >= FEW) & (n >= FEW - 1)).repartition("lid")
+    more = lines.where((size >= FEW) & (n >= FEW - 1)).withColumn("counting", F.array_distinct("counting")).repartition("lid")
     above = F.floor(n / 1.125).cast("int")
     steps = F.array_distinct(F.array(_blocks(n), _blocks(above)))
     word = more.select("lid", F.explode(steps).alias("blocks"), "counting").select("lid", "blocks", F.explode("counting").alias("word"))
@@ -139,8 +139,8 @@ def line_keys(nodes: DataFrame) -> DataFrame:
     each = [F.max(F.when(F.col("slot") == i, F.col(x))).alias(f"{x}{i}") for i in range(BLOCKS) for x in ("c", "fp")]
     group = block.groupBy("lid", "blocks", "group").agg(*each)
     c = [F.coalesce(f"c{i}", F.lit(0)) for i in range(BLOCKS)]
-    one = [F.when(c[i] >= LEAST, F.xxhash64("blocks", F.col("group") * BLOCKS + i, f"fp{i}")) for i in range(BLOCKS)]
-    two = [F.when(c[i] + c[j] >= LEAST, F.xxhash64(F.lit(i), F.lit(j), F.coalesce(f"fp{i}", F.lit(0)), F.coalesce(f"fp{j}", F.lit(0)))) for i, j in combinations(range(BLOCKS), 2)]
+    one = [F.when(c[i] >= LEAST, F.xxhash64("blocks", F.col("group") * BLOCKS + i, c[i], f"fp{i}")) for i in range(BLOCKS)]
+    two = [F.when(c[i] + c[j] >= LEAST, F.xxhash64(F.lit(i), F.lit(j), c[i], c[j], F.coalesce(f"fp{i}", F.lit(0)), F.coalesce(f"fp{j}", F.lit(0)))) for i, j in combinations(range(BLOCKS), 2)]
     keys = F.when(F.col("blocks") == 0, F.array(*two)).otherwise(F.array(*one))
     return group.select(F.explode(F.array_compact(keys)).alias("key"), "lid").unionByName(short)
 
@@ -149,8 +149,9 @@ def alike(pairs: DataFrame) -> DataFrame:
     """Rows whose normalised lines x and y have an edit similarity of at least SIMILARITY.
 
     Equal words at both ends are cut off first (each with the blank after it), which leaves
-    the distance as it is: levenshtein takes quadratic time, near copies mostly don't.  Each
-    step is a projection of its own, so that none is worked out twice.
+    the distance as it is.  levenshtein takes time by length and limit, so smaller limits,
+    which most near copies keep, are tried first.  Each step is a projection of its own, so
+    that none is worked out twice.
     """
 
     def equal_words(p: Column, q: Column) -> Column:
@@ -168,7 +169,8 @@ def alike(pairs: DataFrame) -> DataFrame:
     out = out.withColumn("_tail", F.least(equal_words(F.reverse("_a"), F.reverse("_b")), F.col("_least") - F.col("_head")))
     # exploded from an array of one: the optimizer would move a plain filter below all steps
     out = out.select(*pairs.columns, F.explode(F.array(F.struct(middle("_a").alias("p"), middle("_b").alias("q"), "_most"))).alias("_m"))
-    return out.where(F.expr("levenshtein(_m.p, _m.q, _m._most) >= 0")).select(*pairs.columns)
+    tries = " OR ".join(f"levenshtein(_m.p, _m.q, int(_m._most / {k})) >= 0" for k in (64, 16, 4, 1))
+    return out.where(F.expr(tries)).select(*pairs.columns)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
