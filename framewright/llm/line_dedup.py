@@ -22,7 +22,8 @@ out.  A block takes its words from all over a line, so a passage that many other
 unlike lines share seldom fills one.
 
 Lines link if they share a key, their lengths allow it and their edit similarity is at
-least SIMILARITY; of each connected group the first occurrence stays.  Copies of a line
+least SIMILARITY: in letters if both have up to LETTERS words, else in words, as the time
+that the distance takes grows with the square of the length.  Of each connected group the first occurrence stays.  Copies of a line
 are one node.  In each bucket all lines are first held against one of them, its hub, which
 joins dense clusters with linear work; only buckets whose lines are then still in different
 components are joined with themselves, so no link is lost and a cluster doesn't make all
@@ -46,6 +47,7 @@ LONG = 4  # characters of the words that count in longer lines
 PAIRS = 36  # counting words below which keys are made of two blocks
 BLOCKS = 6
 LEAST = 3  # words that a key needs
+LETTERS = 60  # words up to which edits are counted in letters, beyond in words
 LANES = 8  # sums a block; each counts four bits in 16 bits of a long
 _MASK = 0x0001000100010001
 
@@ -113,34 +115,41 @@ def _majority() -> Column:
     return out
 
 
+def _counting(words: Column) -> Column:
+    """The words that count in longer lines."""
+    long = F.filter(words, lambda w: F.length(w) >= LONG)
+    return F.when(F.size(long) >= LEAST, long).otherwise(words)
+
+
 def line_keys(nodes: DataFrame) -> DataFrame:
     """(key, lid) of the distinct lines (lid, norm): all join keys of their fingerprints."""
-    lines = nodes.select("lid", F.split("norm", " ").alias("words"))
-    long = F.filter("words", lambda w: F.length(w) >= LONG)
-    lines = lines.withColumn("counting", F.when(F.size(long) >= LEAST, long).otherwise(F.col("words")))
+    blanks = F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit("")))
+    few = nodes.where(blanks < 6 * FEW).select("lid", F.split("norm", " ").alias("words"))
+    few = few.select("lid", "words", _counting(F.col("words")).alias("counting"))
     size, n = F.size("words"), F.size("counting")
     none = F.array().cast("array<long>")
-    few = F.concat(
+    keys = F.concat(
         F.when(size <= FEW, _all_but_one(F.col("words"))).otherwise(none),
         F.when(size <= 2, _halves(F.col("words"))).otherwise(none),
         F.when((size >= FEW) & (n <= FEW), _all_but_one(F.col("counting"))).otherwise(none),
     )
-    short = lines.where((size <= FEW) | (n <= FEW)).select(F.explode(few).alias("key"), "lid")
+    short = few.where((size <= FEW) | (n <= FEW)).select(F.explode(keys).alias("key"), "lid")
     # rows of one line stay in one task, so that its blocks are counted without another exchange
-    more = lines.where((size >= FEW) & (n >= FEW - 1)).withColumn("counting", F.array_distinct("counting")).repartition("lid")
-    above = F.floor(n / 1.125).cast("int")
-    steps = F.array_distinct(F.array(_blocks(n), _blocks(above)))
-    word = more.select("lid", F.explode(steps).alias("blocks"), "counting").select("lid", "blocks", F.explode("counting").alias("word"))
-    word = word.select("lid", "blocks", _hash(F.col("word")).alias("h"))
+    more = nodes.where(blanks >= FEW - 1).repartition("lid").select("lid", F.split("norm", " ").alias("words"))
+    more = more.select("lid", _counting(F.col("words")).alias("counting")).where(F.size("counting") >= FEW - 1)
+    more = more.select("lid", F.array_distinct(F.transform("counting", _hash)).alias("hashes"))
+    m = F.size("hashes")
+    steps = F.array_distinct(F.array(_blocks(m), _blocks(F.floor(m / 1.125).cast("int"))))
+    word = more.select("lid", F.explode(steps).alias("blocks"), "hashes").select("lid", "blocks", F.explode("hashes").alias("h"))
     place = F.pmod("h", F.when(F.col("blocks") == 0, BLOCKS).otherwise(F.col("blocks"))).cast("int")
     sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_MASK))).alias(f"s{k}") for k in range(LANES)]
     block = word.groupBy("lid", "blocks", place.alias("place")).agg(F.count("*").alias("c"), *sums)
     block = block.select("lid", "blocks", F.floor(F.col("place") / BLOCKS).alias("group"), (F.col("place") % BLOCKS).alias("slot"), "c", _majority().alias("fp"))
     each = [F.max(F.when(F.col("slot") == i, F.col(x))).alias(f"{x}{i}") for i in range(BLOCKS) for x in ("c", "fp")]
     group = block.groupBy("lid", "blocks", "group").agg(*each)
-    c = [F.coalesce(f"c{i}", F.lit(0)) for i in range(BLOCKS)]
-    one = [F.when(c[i] >= LEAST, F.xxhash64("blocks", F.col("group") * BLOCKS + i, c[i], f"fp{i}")) for i in range(BLOCKS)]
-    two = [F.when(c[i] + c[j] >= LEAST, F.xxhash64(F.lit(i), F.lit(j), c[i], c[j], F.coalesce(f"fp{i}", F.lit(0)), F.coalesce(f"fp{j}", F.lit(0)))) for i, j in combinations(range(BLOCKS), 2)]
+    c, fp = ([F.coalesce(f"{x}{i}", F.lit(0)) for i in range(BLOCKS)] for x in ("c", "fp"))
+    one = [F.when(c[i] >= LEAST, F.xxhash64("blocks", F.col("group") * BLOCKS + i, c[i], fp[i])) for i in range(BLOCKS)]
+    two = [F.when(c[i] + c[j] >= LEAST, F.xxhash64(F.lit(i), F.lit(j), c[i], c[j], fp[i], fp[j])) for i, j in combinations(range(BLOCKS), 2)]
     keys = F.when(F.col("blocks") == 0, F.array(*two)).otherwise(F.array(*one))
     return group.select(F.explode(F.array_compact(keys)).alias("key"), "lid").unionByName(short)
 
@@ -148,10 +157,11 @@ def line_keys(nodes: DataFrame) -> DataFrame:
 def alike(pairs: DataFrame) -> DataFrame:
     """Rows whose normalised lines x and y have an edit similarity of at least SIMILARITY.
 
-    Equal words at both ends are cut off first (each with the blank after it), which leaves
-    the distance as it is.  levenshtein takes time by length and limit, so smaller limits,
-    which most near copies keep, are tried first.  Each step is a projection of its own, so
-    that none is worked out twice.
+    Edits are those of letters, or of words if a line has more than LETTERS.  Equal words at
+    both ends are cut off first (with the blank after each), which leaves the distance as it
+    is.  If as many words are left on both sides, those that differ from their opposite are a
+    bound from above that takes linear time and mostly decides; only other pairs need
+    levenshtein.  Each step is a projection of its own, so that none is worked out twice.
     """
 
     def equal_words(p: Column, q: Column) -> Column:
@@ -159,18 +169,31 @@ def alike(pairs: DataFrame) -> DataFrame:
         return F.when(differ == 0, F.col("_least")).otherwise(F.least(differ - 1, F.col("_least"))).cast("int")
 
     def middle(words: str) -> Column:
-        n = F.size(words) - F.col("_head") - F.col("_tail")
-        return F.when(n > 0, F.concat(F.array_join(F.slice(words, F.col("_head") + 1, n), " "), F.lit(" "))).otherwise("")
+        return F.slice(words, F.col("_head") + 1, F.size(words) - F.col("_head") - F.col("_tail"))
+
+    def text(words: Column) -> Column:
+        return F.when(F.size(words) > 0, F.concat(F.array_join(words, " "), F.lit(" "))).otherwise("")
+
+    def letters(words: Column) -> Column:
+        """A letter for each word, by 20 bits of its hash."""
+        codes = F.transform(words, lambda w: F.lpad(F.hex(F.pmod(_hash(w), F.lit(0xF0000)) + 0x10000), 8, "0"))
+        return F.decode(F.unhex(F.array_join(codes, "")), "UTF-32")
 
-    most = F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - SIMILARITY) + 1e-9).cast("int")
-    out = pairs.withColumns({"_a": F.split("x", " "), "_b": F.split("y", " "), "_most": most})
+    share = 1 - SIMILARITY
+    limit = F.when(F.col("_long"), F.greatest(F.size("_a"), F.size("_b"))).otherwise(F.greatest(F.length("x"), F.length("y")))
+    out = pairs.withColumns({"_a": F.split("x", " "), "_b": F.split("y", " ")})
+    out = out.withColumn("_long", F.greatest(F.size("_a"), F.size("_b")) > LETTERS)
+    out = out.withColumn("_most", F.floor(limit * share + 1e-9).cast("int"))
     out = out.withColumn("_least", F.least(F.size("_a"), F.size("_b")))
     out = out.withColumn("_head", equal_words(F.col("_a"), F.col("_b")))
     out = out.withColumn("_tail", F.least(equal_words(F.reverse("_a"), F.reverse("_b")), F.col("_least") - F.col("_head")))
     # exploded from an array of one: the optimizer would move a plain filter below all steps
-    out = out.select(*pairs.columns, F.explode(F.array(F.struct(middle("_a").alias("p"), middle("_b").alias("q"), "_most"))).alias("_m"))
-    tries = " OR ".join(f"levenshtein(_m.p, _m.q, int(_m._most / {k})) >= 0" for k in (64, 16, 4, 1))
-    return out.where(F.expr(tries)).select(*pairs.columns)
+    out = out.select(*pairs.columns, F.explode(F.array(F.struct(middle("_a").alias("p"), middle("_b").alias("q"), "_most", "_long"))).alias("_m"))
+    p, q, long, most = (F.col(f"_m.{k}") for k in ("p", "q", "_long", "_most"))
+    cost = F.zip_with(p, q, lambda v, w: F.when(v.eqNullSafe(w), 0).when(long, 1).otherwise(F.greatest(F.length(v), F.length(w))))
+    bound = F.when(F.size(p) == F.size(q), F.aggregate(cost, F.lit(0), lambda s, n: s + n)).otherwise(F.lit(1 << 30))
+    exact = F.when(long, F.levenshtein(letters(p), letters(q))).otherwise(F.levenshtein(text(p), text(q)))
+    return out.where(F.when(bound <= most, True).otherwise(exact <= most)).select(*pairs.columns)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -262,7 +285,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = repeated_lines(base).groupBy(F.col("doc_id").alias(names["gone_id"]), F.col("mark").alias(names["gone_mark"]))
     gone = gone.agg(F.collect_set("line_no").alias(names["gone_lines"]))
     columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    docs = docs.select(*columns)
+    docs = docs.drop("n_lines", "n_removed")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(names["gone_id"])) & (F.xxhash64(F.col("text").cast("string")) == F.col(names["gone_mark"]))
     joined = docs.join(gone, same, "left")
     lines, cut = F.col(names["gone_lines"]), F.split("text", "\n", -1)
