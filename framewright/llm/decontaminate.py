@@ -7,12 +7,19 @@ overlap by half, so these diagonals always lie in one band; bands below the boun
 out, the others are verified by a banded alignment.  q is 8, so that a q-gram is one
 64-bit word and matches are exact.
 
-Texts are lower-cased; ASCII marks and white space become single blanks.  The benchmark
-is sent to the workers in blocks of bounded size; each block scans all texts.
+Texts are lower-cased; ASCII marks and white space become single blanks.  Q-grams, edits and
+lengths are counted in UTF-8 bytes.  Items of fewer than q bytes hold no q-gram: they are
+looked for whole, between blanks, by one automaton.
+
+The benchmark is dealt to blocks of bounded size, written to the shared folder.  Workers read
+them from there, one after another for each stretch of texts, so that neither the driver nor
+a worker ever holds more than one block, and a text's row is made once however many there are.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +31,8 @@ from .words import PLAIN, chunks
 Q = 8
 PROBE = 120  # bytes of a probe; items up to 1.5 times that are one probe
 EDITS = 0.06  # edits a byte that a passage may have
-BLOCK_BYTES = 16 << 20  # benchmark text sent to the workers at once
+BLOCK_BYTES = 4 << 20  # benchmark text of a block; its probes take some fifty times as much memory
+STRETCH = 64 << 20  # text held against one block after another where there are several
 _BITS = 20
 _SIZES = [24, 48, 72, 96, 120, 144, 10**9]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -69,10 +77,13 @@ class Probes:
 
     def __init__(self, items: list[tuple[int, str]], share: float = EDITS):
         self.item, self.text, self.edits = [], [], []
+        short: dict[str, list[int]] = {}
         data, offsets = normalise([_strip(t or "") for _, t in items])
         for (item, _), a, b in zip(items, offsets[:-1].tolist(), offsets[1:].tolist()):
             m = b - a
             if m < Q:
+                if m:
+                    short.setdefault(data[a:b].tobytes().decode("latin-1"), []).append(item)
                 continue
             starts = [0] if m <= PROBE * 3 // 2 else sorted({*range(0, m - PROBE, PROBE // 2), m - PROBE})
             for s in starts:
@@ -80,6 +91,7 @@ class Probes:
                 self.item.append(item)
                 self.text.append(text)
                 self.edits.append(budget(len(text), share))
+        self.short = _automaton(short)
         self.item, self.edits = np.array(self.item, np.int64), np.array(self.edits, np.int64)
         self.size = np.array([len(t) for t in self.text], np.int64)
         self.letters = np.zeros((len(self.text), int(self.size.max(initial=0))), np.uint8)
@@ -103,6 +115,16 @@ class Probes:
             table[_slot(every[own[probe]])] = True
             self.classes.append((table, int((self.size + self.edits)[own].max()), int(self.bound[own].min())))
 
+    def whole(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """(text, item) for each short item that stands between blanks or ends in a text."""
+        if self.short is None:
+            return []
+        out = []
+        for t in range(len(offsets) - 1):
+            text = data[offsets[t] : offsets[t + 1]].tobytes().decode("latin-1")
+            out += [(t, i) for _, found in self.short.iter(f" {text} ") for i in found]
+        return out
+
     def _dense(self, slot: np.ndarray) -> np.ndarray:
         """Places of q-grams that lie in a stretch with enough q-grams of some class."""
         good = np.zeros(len(slot), bool)
@@ -122,6 +144,8 @@ class Probes:
     def found(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(text, probe) pairs, by rows, for which a passage within the edit budget exists."""
         none = np.zeros((0, 2), np.int64)
+        if not len(self.text):
+            return none
         g = grams(data)
         at = self._dense(_slot(g))
         if not len(at):
@@ -165,6 +189,18 @@ class Probes:
         return np.unique(np.stack([doc[ok], probe[ok]], axis=1), axis=0) if ok.any() else none
 
 
+def _automaton(short: dict[str, list[int]]):
+    if not short:
+        return None
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for text, found in short.items():
+        automaton.add_word(f" {text} ", found)
+    automaton.make_automaton()
+    return automaton
+
+
 def _slot(g: np.ndarray) -> np.ndarray:
     return (g * _MIX >> np.uint64(64 - _BITS)).astype(np.int64)
 
@@ -204,45 +240,67 @@ def aligned(letters: np.ndarray, size: np.ndarray, edits: np.ndarray, data: np.n
     return out
 
 
-def _blocks(benchmark: DataFrame):
-    """Lists of (item_id, text) with at most BLOCK_BYTES of text each."""
-    part, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null and item_id is not null").toLocalIterator():
-        if part and size + len(row[1]) > BLOCK_BYTES:
-            yield part
-            part, size = [], 0
-        part.append((row[0], row[1]))
-        size += len(row[1])
-    yield part
+def _blocks(benchmark: DataFrame) -> tuple[str, int]:
+    """Writes the items as blocks of about BLOCK_BYTES of text; (folder, number of blocks)."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null and item_id is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = -(-total // BLOCK_BYTES) or 1
+    folder = store.new_path(spark, "benchmark")
+    items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")).repartition(n, "block").write.partitionBy("block").parquet(folder)
+    return folder, n
+
+
+@lru_cache(maxsize=1)
+def _probes(folder: str, block: int, edits: float) -> Probes:
+    """The probes of a written block, built by the worker that asks."""
+    table = store.read_part(folder, f"block={block}", ["item_id", "text"])
+    items = zip(table.column("item_id").to_pylist(), table.column("text").to_pylist())
+    return Probes(sorted(items), edits)
+
+
+def _found(batches, folder: str, blocks: int, edits: float):
+    """(rows, items found in each of them) for slices of the batches, in order."""
+    held, size = [], 0
+
+    def held_out():
+        found: list[list[set[int]]] = [[set() for _ in range(part.num_rows)] for part in held]
+        for block in range(blocks):
+            probes = _probes(folder, block, edits)
+            for part, sets in zip(held, found):
+                for own, more in zip(sets, _items(part.column(part.schema.get_field_index("text")), probes)):
+                    own.update(more)
+        yield from zip(held, ([sorted(x) for x in sets] for sets in found))
+
+    for batch in batches:
+        for part in chunks(batch, "text"):
+            held.append(part)
+            size += part.nbytes
+            if blocks == 1 or size > STRETCH:
+                yield from held_out()
+                held, size = [], 0
+    yield from held_out()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, contaminated, n_items, item_ids.
 
     item_ids lists the benchmark items (ascending) of which a probe occurs in the text with
-    at most ``edits`` edits a byte.  Null and empty texts match nothing; items without 8
-    normalised bytes are never looked for, null items are ignored, repeated items count
-    once.  Null doc_ids stay null (several blocks merge them into one row), repeated rows
-    stay repeated with one block.  Other columns are ignored; empty docs give no rows.
+    at most ``edits`` edits a byte; items of fewer than 8 normalised bytes must occur whole,
+    as words.  Null and empty texts match nothing, nor do items without a letter or digit;
+    null items are ignored, repeated items count once.  Null doc_ids stay null, repeated
+    rows stay repeated, whatever the number of blocks.  Other columns are ignored; empty
+    docs give no rows.
     """
     store.arrow_limits(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = []
-    for block in _blocks(benchmark):
-        probes = docs.sparkSession.sparkContext.broadcast(Probes(block, edits))
-
-        def run(batches, probes=probes):
-            for batch in batches:
-                for part in chunks(batch, "text"):
-                    items = _items(part.column(1), probes.value)
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "item_ids"])
-
-        parts.append(base.mapInArrow(run, "doc_id long, item_ids array<long>"))
-    found = parts[0]
-    for more in parts[1:]:
-        found = found.unionByName(more)
-    if len(parts) > 1:
-        found = found.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
+    folder, blocks = _blocks(benchmark)
+
+    def run(batches):
+        for part, items in _found(batches, folder, blocks, edits):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "item_ids"])
+
+    found = base.mapInArrow(run, "doc_id long, item_ids array<long>")
     return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), F.size("item_ids").cast("long").alias("n_items"), "item_ids")
 
 
@@ -251,20 +309,21 @@ def _items(column: pa.Array, probes: Probes) -> list[list[int]]:
     items: list[set[int]] = [set() for _ in range(len(column))]
     for doc, probe in probes.found(data, offsets).tolist():
         items[doc].add(int(probes.item[probe]))
+    for doc, item in probes.whole(data, offsets):
+        items[doc].add(item)
     return [sorted(x) for x in items]
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> DataFrame:
-    """The rows of docs without benchmark passages, with all their columns; no join."""
+    """The rows of docs without benchmark passages, with all their columns; no join.
+
+    Rows with a null or empty text stay, and so do repeated rows and null doc_ids.
+    """
     store.arrow_limits(docs.sparkSession)
-    for block in _blocks(benchmark):
-        probes = docs.sparkSession.sparkContext.broadcast(Probes(block, edits))
+    folder, blocks = _blocks(benchmark)
 
-        def run(batches, probes=probes):
-            for batch in batches:
-                for part in chunks(batch, "text"):
-                    items = _items(part.column(part.schema.get_field_index("text")), probes.value)
-                    yield part.filter(pa.array([not x for x in items]))
+    def run(batches):
+        for part, items in _found(batches, folder, blocks, edits):
+            yield part.filter(pa.array([not x for x in items], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return docs.mapInArrow(run, docs.schema)

@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     """URI of the shared folder; sets a local one only where none is named."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         folder = "file://" + os.path.join(tempfile.gettempdir(), "framewright-shared")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -77,6 +79,22 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def read_part(folder: str, part: str, columns: list[str]):
+    """The rows of one partition folder of a written table, in file order, as an Arrow table."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    fs, root = filesystem(folder)
+    place, tables = f"{root}/{part}", []
+    if fs.get_file_info(place).type == pafs.FileType.Directory:
+        files = sorted(x.path for x in fs.get_file_info(pafs.FileSelector(place)) if x.path.endswith(".parquet"))
+        for name in files:
+            with fs.open_input_file(name) as f:
+                tables.append(pq.ParquetFile(f).read(columns))
+    return pa.concat_tables(tables) if tables else pa.table({c: pa.array([], pa.int64()) for c in columns})
+
+
 def task_suffix() -> str:
     """A name that no other attempt of any task uses, so that retries never clash."""
     from pyspark import TaskContext
