@@ -6,7 +6,10 @@ radius // 2 bits, so each half gets a vantage-point tree for that smaller radius
 tree's top is fitted on the driver from a bounded sample; every distinct fingerprint has
 one home shard and also asks the shards that its search ball overlaps: with vantage v
 and boundary m, the triangle bound lets a query at distance d skip the inside if
-d > m + r and the outside if d <= m - r.  A shard continues the tree in memory.  Shards
+d > m + r and the outside if d <= m - r.  Shards that hold more than CROWDED times what they
+are meant to are split again, by trees that tasks fit on samples of each such shard alone,
+until none is left: by the same half, or, where most of a shard agrees in that half, by the
+whole fingerprint and the whole radius.  A shard continues the tree in memory.  Shards
 return a spanning forest of the pairs that they find, so the output is linear in the
 number of fingerprints however dense a cluster is; connectivity is exact.
 
@@ -30,6 +33,8 @@ from .words import LOWER, Words, chunks
 SAMPLE = 65_536  # most fingerprints that the tree's top is fitted on
 SHARD = 16_384  # fingerprints that a shard is meant to hold
 LEAF = 64  # pairs of sample points below which a node is not split
+CROWDED = 4  # times SHARD from which a shard is split again
+REFIT = 4096  # sample points of a crowded shard, about
 
 
 def fingerprint(parts: list[bytes]) -> int:
@@ -87,42 +92,57 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 class Tree:
-    """Top of a vantage-point tree over 32-bit keys, as flat arrays.
+    """Top of a vantage-point tree over 32-bit or 64-bit keys, as flat arrays.
 
     Node i has a vantage, a boundary m and two children; a negative child -1 - s is the
     shard s.  Points at distance <= m are inside.
     """
 
-    def __init__(self, sample: np.ndarray, depth: int):
+    def __init__(self, sample: np.ndarray, depth: int, leaf: int = LEAF):
         self.nodes: list[list[int]] = []
-        self.shards = 0
+        self.shards, self.leaf = 0, leaf
         self.root = self._build(np.unique(sample), depth)
-        self.table = np.array(self.nodes, np.int64).reshape(-1, 4)
+        self.table = np.array(self.nodes, object).reshape(-1, 4)
+
+    @classmethod
+    def of(cls, nodes: list[int], root: int) -> Tree:
+        """The tree that :meth:`flat` gave."""
+        out = cls.__new__(cls)
+        out.table, out.root = np.array([x % (1 << 64) if i % 4 == 0 else x for i, x in enumerate(nodes)], object).reshape(-1, 4), root
+        out.shards = len(out.table) + 1
+        return out
+
+    def flat(self) -> list[int]:
+        """All nodes as signed 64-bit integers."""
+        return [x - (1 << 64) if x >> 63 > 0 else x for row in self.nodes for x in row]
 
     def _leaf(self) -> int:
         self.shards += 1
         return -self.shards
 
     def _build(self, points: np.ndarray, depth: int) -> int:
-        if depth == 0 or len(points) < LEAF:
+        if depth == 0 or len(points) < self.leaf:
             return self._leaf()
-        vantage = int(points[len(points) // 2])
-        d = np.bitwise_count(points ^ np.uint32(vantage)).astype(np.int64)
+        vantage = points[len(points) // 2]
+        d = np.bitwise_count(points ^ vantage).astype(np.int64)
         m = int(np.median(d))
         if (d <= m).all():
             m -= 1
         if not (d <= m).any():
             return self._leaf()
         at = len(self.nodes)
-        self.nodes.append([vantage, m, 0, 0])
+        self.nodes.append([int(vantage), m, 0, 0])
         self.nodes[at][2] = self._build(points[d <= m], depth - 1)
         self.nodes[at][3] = self._build(points[d > m], depth - 1)
         return at
 
-    def route(self, keys: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(index of key, shard, is home) for each shard that the key lives in or asks."""
+    def route(self, keys: np.ndarray, radius: int, home: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of key, shard, is home) for each shard that the key lives in or asks.
+
+        ``home`` (default: all) tells which keys live here; others only ask.
+        """
         out = []
-        todo = [(self.root, np.arange(len(keys)), np.ones(len(keys), bool))]
+        todo = [(self.root, np.arange(len(keys)), np.ones(len(keys), bool) if home is None else home)]
         while todo:
             node, at, home = todo.pop()
             if not len(at):
@@ -131,7 +151,7 @@ class Tree:
                 out.append((at, np.full(len(at), -1 - node), home))
                 continue
             vantage, m, inside, outside = self.table[node].tolist()
-            d = np.bitwise_count(keys[at] ^ np.uint32(vantage)).astype(np.int64)
+            d = np.bitwise_count(keys[at] ^ keys.dtype.type(vantage)).astype(np.int64)
             go = d <= m + radius
             todo.append((inside, at[go], home[go] & (d[go] <= m)))
             go = d > m - radius
@@ -200,7 +220,7 @@ def _shard_forest(table: pa.Table, radius: int) -> pa.Table:
     side = table.column("shard")[0].as_py() & 1
     order = np.argsort(~home, kind="stable")
     fps, home = fps[order], home[order]
-    half = (fps >> np.uint64(32 * side)).astype(np.uint32)
+    half = _half(fps, side)
     forest = Forest(len(fps))
     search(np.flatnonzero(home), np.arange(len(fps)), fps, half, radius, radius // 2, forest)
     a = np.concatenate([x for x, _ in forest.kept] or [np.zeros(0, np.int64)])
@@ -215,19 +235,82 @@ def links(distinct: DataFrame, radius: int = 3, shard: int = SHARD) -> DataFrame
     rows = distinct.where(F.pmod(F.xxhash64(F.lit(7), "fp"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(2 * SAMPLE).toArrow()
     sample = rows.column("fp").to_numpy().view(np.uint64)
     depth = max(0, int(np.ceil(np.log2(max(n, 1) / shard))))
-    trees = [Tree((sample >> np.uint64(32 * side)).astype(np.uint32), depth) for side in (0, 1)]
+    trees = [Tree(_half(sample, side), depth) for side in (0, 1)]
 
     def route(batches):
         for batch in batches:
             fps = batch.column(0).to_numpy().view(np.uint64)
             for side, tree in enumerate(trees):
-                at, to, home = tree.route((fps >> np.uint64(32 * side)).astype(np.uint32), radius // 2)
+                at, to, home = tree.route(_half(fps, side), radius // 2)
                 yield pa.RecordBatch.from_arrays([pa.array(to * 2 + side), pa.array(fps[at].view(np.int64)), pa.array(home)], ["shard", "fp", "home"])
 
-    placed = distinct.select("fp").mapInArrow(route, "shard long, fp long, home boolean")
+    placed = store.cut(distinct.select("fp").mapInArrow(route, "shard long, fp long, home boolean"), "placed")
+    placed = uncrowded(placed, radius, shard, 2 * max(t.shards for t in trees))
     return placed.groupBy("shard").applyInArrow(lambda t: _shard_forest(t, radius), "a long, b long")
 
 
+def _half(fps: np.ndarray, side: int) -> np.ndarray:
+    return (fps >> np.uint64(32 * side)).astype(np.uint32)
+
+
+def _refit(table: pa.Table, shard: int) -> pa.Table:
+    """The tree of one crowded shard, from its sample (shard, c, fp); c: how many live there."""
+    name, n = table.column("shard")[0].as_py(), table.column("c")[0].as_py()
+    fps = np.unique(table.column("fp").to_numpy().view(np.uint64))
+    depth = max(1, int(np.ceil(np.log2(n / shard))))
+    leaf = max(2, min(LEAF, len(fps) // 8))
+    half = _half(fps, name & 1)
+    tree, whole = Tree(half, depth, leaf), False
+    at, to, home = tree.route(half, 0)
+    if np.bincount(to[home]).max() > 0.9 * len(fps):  # most agree in this half
+        tree, whole = Tree(fps, depth, leaf), True
+    return pa.table({"shard": [name], "root": [tree.root], "whole": [whole], "nodes": pa.array([tree.flat()], pa.list_(pa.int64()))})
+
+
+def uncrowded(placed: DataFrame, radius: int, shard: int, names: int) -> DataFrame:
+    """placed (shard, fp, home) with crowded shards split; names: shard numbers in use.
+
+    What reaches the driver is one tree for each crowded shard, a node for some ``shard``
+    fingerprints.  A shard number's lowest bit is the side that it is searched by.
+    """
+    spark = placed.sparkSession
+    for _ in range(40):
+        crowd = placed.where("home").groupBy("shard").agg(F.count("*").alias("c")).where(F.col("c") > CROWDED * shard)
+        crowd = store.cut(crowd, "crowd")
+        lots = F.pmod(F.xxhash64("fp", F.lit(13)), F.lit(1 << 30)) < F.lit(float(REFIT << 30)) / F.col("c")
+        sample = placed.where("home").join(crowd, "shard").where(lots).select("shard", "c", "fp")
+        fitted = sample.groupBy("shard").applyInArrow(lambda t: _refit(t, shard), "shard long, root long, whole boolean, nodes array<long>")
+        rows = [r for r in fitted.toLocalIterator() if len(r["nodes"])]
+        if not rows:
+            return placed
+        split = {}
+        for r in sorted(rows, key=lambda r: r["shard"]):
+            split[r["shard"]] = (names // 2 + 1, r["root"], r["whole"], r["nodes"])
+            names += 2 * (len(r["nodes"]) // 4 + 2)
+        sent = spark.sparkContext.broadcast(split)
+
+        def route(batches, sent=sent):
+            for batch in batches:
+                shards, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+                home = batch.column(2).to_numpy(zero_copy_only=False)
+                stay = ~np.isin(shards, np.fromiter(sent.value, np.int64, len(sent.value)))
+                out = [(shards[stay], fps[stay], home[stay])]
+                for name in np.unique(shards[~stay]).tolist():
+                    first, root, whole, nodes = sent.value[name]
+                    own = np.flatnonzero(shards == name)
+                    keys = fps[own] if whole else _half(fps[own], name & 1)
+                    at, to, lives = Tree.of(nodes, root).route(keys, radius if whole else radius // 2, home[own])
+                    out.append(((to + first) * 2 + (name & 1), fps[own[at]], lives))
+                cols = [np.concatenate(x) for x in zip(*out)]
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1].view(np.int64)), pa.array(cols[2])], ["shard", "fp", "home"])
+
+        after = store.cut(placed.mapInArrow(route, "shard long, fp long, home boolean"), "placed")
+        for old in (placed, crowd):
+            store.drop(spark, old)
+        placed = after
+    return placed
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of docs (doc_id, text).
 
