@@ -336,8 +336,20 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataF
     return prints.join(lookup, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
-    """The rows of docs without those whose component has a smaller doc_id."""
-    found = near_duplicates(docs, radius, shingle)
+def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3, similarity: float | None = None) -> DataFrame:
+    """The rows of docs without those whose component has a smaller doc_id.
+
+    With ``similarity``, rows link by the exact similarity of their sets of shingles instead
+    of by bits.  At 0.8 fingerprints lie some ten bits apart, and a ball of that radius meets
+    nearly every shard of a vantage-point tree; candidates then come from sketches of the
+    sets (:mod:`shingle_dedup`).  Rows that share a doc_id are one document and go together;
+    a row with a null doc_id stays.  All columns pass through; an empty table stays empty.
+    """
+    if similarity is None:
+        found = near_duplicates(docs, radius, shingle)
+    else:
+        from . import shingle_dedup
+
+        found = shingle_dedup.near_duplicates(docs, shingle, similarity)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")

@@ -1,5 +1,6 @@
 """The training-data operators against brute force, round trips and edge cases."""
 
+import gzip
 import hashlib
 import io
 import json
@@ -121,9 +122,10 @@ def test_line_dedup(spark):
     norm = lambda s: re.sub(r"[^\w]+|_", " ", s.lower()).strip()
     seen = [(i, j, norm(x)) for i, t in enumerate(texts) if t is not None for j, x in enumerate(t.split("\n")) if norm(x)]
     distinct = sorted({s[2] for s in seen})
-    parts = spark.createDataFrame([(w,) for w in {w for n in distinct for w in n.split(" ")}], "w string")
-    h = {r.w: r.h & (2**64 - 1) for r in parts.select("w", F.xxhash64("w", F.lit(17)).alias("h")).collect()}
-    print_of = {n: sum(1 << b for b in range(64) if 2 * sum(h[w] >> b & 1 for w in n.split(" ")) > len(n.split(" "))) for n in distinct}
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(distinct)], "lid long, norm string")
+    keys = {n: set() for n in distinct}
+    for r in line_dedup.line_keys(rows).collect():
+        keys[distinct[r.lid]].add(r.key)
     parent = {n: n for n in distinct}
 
     def root(x):
@@ -133,7 +135,7 @@ def test_line_dedup(spark):
 
     for i, a in enumerate(distinct):
         for b in distinct[i + 1 :]:
-            if (print_of[a] ^ print_of[b]).bit_count() <= 3 and _distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9):
+            if keys[a] & keys[b] and _distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9):
                 parent[root(a)] = root(b)
     met, gone = set(), {}
     for i, j, n in sorted(seen):
@@ -154,45 +156,62 @@ def test_line_dedup_empty_and_wide(spark):
     long = "w" + " ".join(str(i % 7) for i in range(70_000))
     got = by_id(line_dedup.dedup_lines(docs_of(spark, [long, long, long + " 8"])))
     assert [got[i].n_removed for i in range(3)] == [0, 1, 1]
-    assert [len(list(line_dedup.combinations(range(b), b - 3))) for b in (5, 6, 7)] == [10, 20, 35]
+    odd = "gone_id long, gone_lines long, gone_mark long, LID string, doc_id long, text string, n_lines int, `a.b` int"
+    rows = [(7, 8, 9, "x", None, "a line twice here\nother", 1, 2), (7, 8, 9, "x", None, "A line, twice here", 1, 2), (1, 1, 1, "", 3, None, 1, 2), (1, 1, 1, "", 4, "", 1, 2)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, odd))
+    assert got.columns == ["gone_id", "gone_lines", "gone_mark", "LID", "doc_id", "text", "a.b", "n_lines", "n_removed"]
+    got = sorted((r.doc_id or 0, r.gone_id, r.n_lines, r.n_removed) for r in got.collect())
+    assert got[2:] == [(3, 1, 0, 0), (4, 1, 1, 0)] and sorted(x[3] for x in got[:2]) == [0, 1] and {x[1] for x in got[:2]} == {7}
+
+
+def test_rows_of_one_id_lose_only_their_own_lines(spark):
+    rows = [(5, "first text line of this row\nshared line of both documents"), (5, "something else entirely\nnobody ever wrote this one"), (9, "Shared line of both documents!\nnobody ever wrote this one")]
+    got = sorted(r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, EMPTY)).collect())
+    assert got == sorted([rows[0][1], rows[1][1], ""])
+
+
+def _edited(rnd, words, kind, word):
+    out = list(words)
+    k = rnd.randrange(len(out))
+    if kind == "letter":
+        at = rnd.randrange(len(out[k]))
+        out[k] = out[k][:at] + rnd.choice([c for c in "abcdefgh" if c != out[k][at]]) + out[k][at + 1 :]
+    elif kind == "insert":
+        out.insert(k, word())
+    elif kind == "drop":
+        del out[k]
+    else:
+        for _ in range({"word": 1, "two": 2}[kind]):
+            out[rnd.randrange(len(out))] = word()
+    return out
 
 
-def test_lines_at_the_least_similarity_link(spark):
+@pytest.mark.parametrize("kind,least", [("letter", 1.0), ("word", 0.99), ("insert", 0.97), ("drop", 0.97), ("two", 0.9)])
+def test_edited_lines_share_a_key(spark, kind, least):
     rnd = random.Random(5)
-    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 8)))
-    texts, pairs = [], 0
-    for k in range(200):
-        a = [word() for _ in range(6 + k % 30)]
-        b = list(a)
-        while True:
-            more = list(b)
-            more[rnd.randrange(len(more))] = word()
-            x, y = " ".join(a), " ".join(more)
-            if _distance(x, y) > int(0.2 * max(len(x), len(y)) + 1e-9):
-                break
-            b = more
-        if a != b:
-            pairs += 1
-            texts += [" ".join(a), " ".join(b)]
-    texts += ["the cat sat", "the kat sat"]
-    got = by_id(line_dedup.dedup_lines(docs_of(spark, texts), reach=line_dedup.REACH))
-    assert all(got[i].n_removed == 0 for i in range(0, len(texts), 2))
-    assert sum(got[i].n_removed for i in range(1, len(texts), 2)) >= 0.97 * (pairs + 1)
-
-
-def test_blocks_find_every_near_pair(spark):
-    rnd = random.Random(1)
-    for blocks in (5, 6, 7):
-        pairs = []
-        for _ in range(40):
-            a = rnd.getrandbits(64)
-            b = a
-            for bit in rnd.sample(range(64), rnd.randint(0, 3)):
-                b ^= 1 << bit
-            pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (a, b)))
-        df = spark.createDataFrame(pairs, "a long, b long")
-        shared = df.select(F.arrays_overlap(line_dedup.block_keys(F.col("a"), blocks), line_dedup.block_keys(F.col("b"), blocks)).alias("s"))
-        assert all(r.s for r in shared.collect())
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9)))
+    pairs = []
+    for size in [2, 3, 5, 8, 9, 10, 12, 15, 20, 27, 36, 50, 71, 72, 90, 150, 300, 1000]:
+        for _ in range(25):
+            a = [word() for _ in range(size)]
+            b = _edited(rnd, a, kind, word)
+            x, y = " ".join(a), " ".join(b)
+            if min(map(len, a)) > 1 and (size > 60 or _distance(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9)):
+                pairs.append((x, y))
+    rows = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "lid long, norm string")
+    keys = [set() for _ in range(2 * len(pairs))]
+    for r in line_dedup.line_keys(rows).collect():
+        keys[r.lid].add(r.key)
+    share = [bool(keys[2 * i] & keys[2 * i + 1]) for i in range(len(pairs))]
+    assert len(share) > 200 and sum(share) >= least * len(share)
+
+
+def test_many_lines_of_two_words_make_few_pairs(spark):
+    rnd = random.Random(3)
+    stock = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(200)]
+    lines = sorted({f"{rnd.choice(stock)} {rnd.choice(stock)}" for _ in range(4000)})
+    keys = line_dedup.line_keys(spark.createDataFrame(list(enumerate(lines)), "lid long, norm string"))
+    assert keys.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0] < 3 * len(lines)
 
 
 # ---------------------------------------------------------------- 2 archives
@@ -231,43 +250,125 @@ def test_warc_round_trip(spark):
     got = {r.page_id: r for r in warc_zip.round_trip(pages).collect()}
     assert {k: (r.record_type, r.refers_to, r.payload_bytes) for k, r in got.items()} == {
         1: ("revisit", 9, 1200), 2: ("revisit", 9, 1200), 9: ("response", None, 1200), 3: ("response", None, 999), 4: ("response", None, 999),
-        5: ("response", None, 0), 6: ("response", None, 0), 7: ("response", None, 6),
+        5: ("response", None, 0), 6: ("response", None, 0), 7: ("response", None, 6), None: ("response", None, 4),
     }
     assert all(got[k].payload_digest == hashlib.sha1((h or "").encode()).hexdigest() for k, _, h in rows if k)
     folder, packages = warc_zip.archive(pages, zip64=True)
     texts = {r.page_id: r.payload for r in warc_zip.read_back(spark, folder, packages, with_payload=True).collect()}
     assert texts[9] == big and texts[7] == "a\r\n\r\nb" and texts[1] is None
     assert warc_zip.round_trip(pages.where("false")).count() == 0
+    a, b = "a" * 1000, "b" * 1000
+    again = spark.createDataFrame([(5, "u", a), (5, "u", b), (9, "u", a), (10, "u", b), (None, "u", b), (10, "v", b)], "page_id long, url string, html string")
+    got = sorted((r.page_id or 0, r.payload_digest, r.record_type, r.refers_to) for r in warc_zip.round_trip(again).collect())
+    da, db = (hashlib.sha1(x.encode()).hexdigest() for x in (a, b))
+    assert got == sorted([(5, da, "revisit", 9), (5, db, "revisit", 10), (9, da, "response", None), (10, db, "response", None), (0, db, "revisit", 10), (10, db, "response", None)], key=lambda r: r[:2])
+
+
+def _package(members):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as f:
+        for name, data, method in members:
+            f.writestr(name, data, method)
+    raw = out.getvalue()
+    return raw, lambda at, n: raw[at : at + n]
+
+
+def test_foreign_packages():
+    digest = hashlib.sha1(b"x").hexdigest()
+    records = [warc_zip.record_bytes(i, "u", b"x" * i * 1000, digest, None) for i in range(1, 5)]
+    data, at, lines = b"".join(records), 0, []
+    for i, r in enumerate(records):
+        lines.append("com,example)/ 2000 " + json.dumps({"offset": str(at), "length": str(len(r)), "filename": "data.warc.gz"}))
+        at += len(r)
+    index = ("!meta\n" + "\n".join(lines) + "\n").encode()
+    stored, deflated = zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED
+    whole = ("archive/data.warc.gz", data, stored)
+    for extra in ([], [("indexes/index.cdx.gz", gzip.compress(index), stored)], [("indexes/index.cdxj", index, deflated)], [("indexes/index.cdxj", index, stored)]):
+        raw, read_at = _package([whole, *extra])
+        assert [raw[a : a + n] for a, n in warc_zip.record_ranges(read_at, len(raw))] == records
+    for bad in ([("archive/data.warc.gz", data, deflated)], [("pages/pages.jsonl", b"{}", stored)], [("archive/data.warc.gz", data[:-5], stored)], [whole, ("indexes/index.cdx", b" CDX N b a\nx y z\n", stored)]):
+        raw, read_at = _package(bad)
+        with pytest.raises(warc_zip.ZipError):
+            warc_zip.record_ranges(read_at, len(raw))
 
 
 # ---------------------------------------------------------------- 3 toxicity
 
 
-def test_kneser_ney_ratio():
-    rnd = np.random.default_rng(3)
-    ordinary, toxic = rnd.poisson(0.0002, toxicity.CELLS), rnd.poisson(0.0001, toxicity.CELLS)
-    ratio = toxicity.likelihood_ratio(ordinary, toxic)
-    d, groups, size = toxicity.DISCOUNT, toxicity.GROUPS, toxicity.WORDS
-    both = (ordinary + toxic).reshape(groups, size) > 0
-    for cell in [*np.flatnonzero(toxic)[:20], *range(5)]:
-        g, w = divmod(int(cell), size)
-        kinds = both.sum()
-        shared = max(both[:, w].sum() - d, 0) / kinds + d * both.any(axis=0).sum() / kinds / size
+def _counted(texts, slots):
+    """Counts of words by slot, and their bitmaps, word by word; names are those of the module."""
+    counts, seen = {}, {}
+    for text, slot in zip(texts, slots):
+        found = words.Words(pa.array([text or ""]), words.PLAIN)
+        before = 0
+        for h in found.hashes(3).tolist():
+            counts.setdefault(h, [0, 0, 0, 0])[slot] += 1
+            seen[h] = seen.get(h, 0) | 1 << int(words.mix64(np.array([before], np.uint64))[0] & np.uint64(63))
+            before = h
+    return counts, seen
+
+
+def test_models_sum_to_one():
+    rng = np.random.default_rng(1)
+    counts = rng.zipf(1.6, (4, 500)).clip(0, 400) * (rng.random((4, 500)) < 0.4)
+    counts = counts[:, counts.sum(axis=0) > 0].astype(float)
+    k = rng.integers(1, 60_000, counts.shape[1]).astype(float)
+    totals = {"k": k.sum()}
+    for name, sides in toxicity.MODELS.items():
+        c = [counts[list(s)].sum(axis=0) for s in sides]
+        totals[name] = [(x.sum(), np.minimum(x, toxicity.DISCOUNT).sum()) for x in c]
+        shared = np.append(k, 1000) / (k.sum() + 1000)  # the last: all words never seen
         p = []
-        for counts in (ordinary, toxic):
-            c = counts.reshape(groups, size)
-            low = max(c[:, w].sum() - d, 0) / c.sum() + d * (c.sum(axis=0) > 0).sum() / c.sum() * shared
-            p.append(max(c[g, w] - d, 0) / max(c[g].sum(), 1) + d * max((c[g] > 0).sum(), 1) / max(c[g].sum(), 1) * low)
-        assert np.isclose(ratio[cell], np.log(p[1] / p[0]), rtol=1e-4, atol=1e-4)
-
-
-def test_cells_count(spark):
-    texts = ["A b, a b", "a", None, ""]
-    got = {r.cell: (r.c0, r.c1) for r in toxicity.count_cells(spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts)], "text string, slot int")).collect()}
-    assert sum(c for c, _ in got.values()) == 4 and sum(c for _, c in got.values()) == 1
-    w = words.Words(pa.array(texts[:2]), words.PLAIN)
-    cells = toxicity.cells(w)
-    assert cells[0] == cells[4] and cells[0] < toxicity.WORDS and cells[1] == cells[3] != cells[2]
+        for x, (n, d) in zip(c, totals[name]):
+            x = np.append(x, 0)
+            p.append(np.maximum(x - toxicity.DISCOUNT, 0) / n + d / n * shared)
+            assert abs(p[-1].sum() - 1) < 1e-12
+        ratio, other = toxicity.log_ratio(counts, k, totals, name)
+        assert np.allclose(np.append(ratio, other), np.minimum(np.log(p[1] / p[0]), toxicity.MOST))
+        few = np.maximum(*c) <= toxicity.DISCOUNT
+        assert few.any() and np.allclose(ratio[few], other)  # leaving them out changes nothing
+
+
+def test_words_are_counted_whole(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "HELD", 5)
+    texts = [*ODD, *some_texts(4, 30)]
+    slots = [i % 4 for i in range(len(texts))]
+    got = {r.w % 2**64: r for r in toxicity.count_words(spark.createDataFrame(list(zip(texts, slots)), "text string, slot int").repartition(3)).collect()}
+    counts, seen = _counted(texts, slots)
+    assert {w: [r.c0, r.c1, r.c2, r.c3] for w, r in got.items()} == counts
+    assert {w: r.seen % 2**64 for w, r in got.items()} == seen
+
+
+def test_scores_match_brute_force(spark, monkeypatch):
+    rnd = random.Random(6)
+    stock = [f"w{i}" for i in range(200)]
+    texts = [" ".join(rnd.choice(stock) for _ in range(rnd.randint(0, 40))) + (" vile scum" if i % 5 == 0 else "") for i in range(240)] + [None, "", "vile"]
+    toxic = [int(i % 5 == 0) for i in range(240)]
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    folds = [zlib.crc32(str(i).encode()) % 3 for i in range(len(texts))]
+    known = [i for i in range(240) if folds[i] != 1]
+    counts, seen = _counted([texts[i] for i in known], [folds[i] + toxic[i] for i in known])
+    followed = {w: round(-64_000 * np.log(1 - min(x.bit_count(), 63.5) / 64)) for w, x in seen.items()}
+
+    def figure(text, sides):
+        side = [{w: sum(c[s] for s in slots) for w, c in counts.items()} for slots in sides]
+        n = [sum(x.values()) for x in side]
+        reserve = [sum(min(c, 1.5) for c in x.values()) / m for x, m in zip(side, n)]
+        ratios = []
+        for h in words.Words(pa.array([text or ""]), words.PLAIN).hashes(3).tolist():
+            shared = followed.get(h, 1) / (sum(followed.values()) + 1000)
+            p = [max(x.get(h, 0) - 1.5, 0) / m + r * shared for x, m, r in zip(side, n, reserve)]
+            ratios.append(min(p[1] / p[0], np.exp(toxicity.MOST)))
+        return np.log(np.mean(ratios)) if ratios else 0.0
+
+    x = np.array([figure(texts[i], toxicity.MODELS["second" if folds[i] == 0 else "first"]) for i in known])
+    slope, bias = toxicity.fit_logistic(x[:, None], np.array([toxic[i] for i in known], float))
+    assert slope > 0
+    expected = [1 / (1 + np.exp(-(slope * figure(t, toxicity.MODELS["all"]) + bias))) for t in texts]
+    for size in (1 << 20, 40):  # one block of words, and several
+        monkeypatch.setattr(toxicity, "BLOCK_WORDS", size)
+        got = by_id(toxicity.score(docs_of(spark, texts), labels))
+        assert np.allclose([got[i].score for i in range(len(texts))], expected, atol=1e-6)
 
 
 def test_toxicity_learns(spark):
@@ -327,6 +428,37 @@ def test_quality_figures(spark):
     assert fertility.quality(spark.createDataFrame([], EMPTY), SP).count() == 0
 
 
+def test_bands_tell_prose_from_noise(spark):
+    rnd = random.Random(1)
+    drawn = lambda letters, n=60: " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    run = lambda a, b: [chr(c) for c in range(a, b)]
+    noise = {
+        "letters": [drawn("abcdefghijklmnopqrstuvwxyz", 200) for _ in range(20)],
+        "consonants": [drawn("bcdfghjklmnpqrstvwxz", 100) for _ in range(20)],
+        "hex": [drawn("0123456789abcdef", 100) for _ in range(20)],
+        "base64": [" ".join(drawn("ABCDEFGHabcdefghijklmnopqrstuvwxyz0123456789+/", 60).replace(" ", "")[i : i + 20] for i in range(0, 240, 20)) for _ in range(20)],
+        "han": [drawn(run(0x4E00, 0x9FA5)) for _ in range(20)],
+        "hangul": [drawn(run(0xAC00, 0xD7A3)) for _ in range(20)],
+        "scripts": [drawn([*"abcdefghijklmno", *run(0x430, 0x440)]) for _ in range(20)],
+    }
+    for name, texts in noise.items():
+        base, kept = fertility.verdicts(fertility.measure(texts, SP))
+        assert not base.any() and not kept.any(), name
+    prose = [
+        "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi. Mọi con người đều được tạo hoá ban cho lý trí.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować.",
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. Всё смешалось в доме, и жена узнала об этом.",
+        "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로 형제애의 정신으로 행동하여야 한다.",
+        "人人 生而自由 在尊严和权利上 一律平等 他们赋有理性 和良心 并应以 兄弟关系的精神 相对待 人人有资格 享有本宣言 所载的一切权利 和自由",
+        "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another.",
+    ]
+    base, kept = fertility.verdicts(fertility.measure(prose, SP))
+    assert not base.any() and kept.all()
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    clean = fertility.quality(docs, SP).where("not base_failed")
+    assert clean.where("kept").count() >= 0.99 * clean.count()
+
+
 def test_quality_bands(spark):
     clean = "The quick brown foxes were running over several lazy dogs while the rain kept falling on quiet green hills today"
     noise = " ".join(chr(0x10000 + i * 37) * 3 for i in range(40))
@@ -379,17 +511,50 @@ def test_decontamination(spark, monkeypatch):
     bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate(items)] + [(0, items[0], "x")], "item_id long, text string, doc_id string")
     texts = ["before " + items[0].upper().replace(" ", "  ") + " after", "clean text with nothing in it at all, really nothing", items[1] + "\n" + items[0], *ODD, "tiny tiny tiny"]
     got = by_id(decontaminate.matches(docs_of(spark, texts), bench))
-    assert {i: r.item_ids for i, r in got.items() if r.contaminated} == {0: [0], 2: [0, 1]}
+    assert {i: r.item_ids for i, r in got.items() if r.contaminated} == {0: [0], 2: [0, 1], len(texts) - 1: [3]}
     assert all(r.n_items == len(r.item_ids) for r in got.values())
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 50)  # every item is a block of its own
     split = by_id(decontaminate.matches(docs_of(spark, texts), bench))
     assert {i: r.item_ids for i, r in split.items()} == {i: r.item_ids for i, r in got.items()}
     clean = decontaminate.keep_clean(docs_of(spark, texts), bench)
-    assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {0, 2}
+    assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {0, 2, len(texts) - 1}
     assert decontaminate.matches(docs_of(spark, texts), bench.where("false")).where("contaminated").count() == 0
     assert decontaminate.matches(spark.createDataFrame([], EMPTY), bench).count() == 0
 
 
+def test_blocks_change_no_row(spark, monkeypatch):
+    asked = [f"question {hashlib.sha1(bytes([i])).hexdigest()} of the book" for i in range(30)]
+    bench = spark.createDataFrame([*enumerate(asked), (99, "42 yes")], "item_id long, text string")
+    rows = [(None, "nothing"), (None, f"so {asked[3]}, is it"), (4, "it says 42, yes!"), (4, "it says 42, yes!"), (4, "142 yes"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    said = lambda: sorted(map(str, decontaminate.matches(docs, bench).collect()))
+    one = said()
+    assert len(one) == 6 and sum("[99]" in x for x in one) == 2 and sum("[3]" in x for x in one) == 1
+    for size, stretch in ((200, 1 << 20), (200, 1), (64, 100)):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+        monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+        assert said() == one
+        assert decontaminate.keep_clean(docs, bench).count() == 3
+
+
+def test_long_and_foreign_passages_match_brute_force():
+    rnd = random.Random(8)
+    hits = misses = 0
+    for k in range(40):
+        letters = "абвгдежз " if k % 2 else "abcdefgh "
+        item = "x" + "".join(rnd.choice(letters) for _ in range(rnd.choice([60, 250, 400]))).strip() + "y"
+        other = list(item)
+        for _ in range(rnd.randint(0, len(item) // rnd.choice([3, 12]))):
+            other[rnd.randrange(len(other))] = rnd.choice(letters)
+        text = "".join(rnd.choice(letters) for _ in range(50)) + "".join(other) + " ende"
+        probes = decontaminate.Probes([(1, item)])
+        data, offsets = decontaminate.normalise([text])
+        expected = any(_best_distance(p.tobytes(), data.tobytes()) <= e for p, e in zip(probes.text, probes.edits))
+        assert bool(decontaminate._items(pa.array([text]), probes)[0]) == expected
+        hits, misses = hits + expected, misses + (not expected)
+    assert hits > 5 and misses > 5
+
+
 # ---------------------------------------------------------------- 6 lattice
 
 
@@ -410,7 +575,7 @@ def _all_segmentations(unit, v):
     return out
 
 
-@pytest.mark.parametrize("text", ["hello world", "a", "éclair ☃ x", "  two  blanks\nline ", "ab\n\ncd", "the cat sat"])
+@pytest.mark.parametrize("text", ["hello world", "a", "éclair ☃ x", "  two  blanks\nline ", "ab\n\ncd", "the cat sat", "f:\n    x"])
 def test_n_best_is_exact(text):
     v = piece_lattice.vocabulary(SP)
     units = piece_lattice.split(text)
@@ -434,6 +599,27 @@ def test_long_and_short_units_agree():
         assert np.allclose(one[0], many[0]) and (one[1] == many[1]).all() and np.allclose(one[3], many[3])
 
 
+def test_blanks_and_long_units_need_little():
+    import sentencepiece
+    import tracemalloc
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=SP)
+    v = piece_lattice.vocabulary(SP)
+    whole = [i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))]
+    assert sorted(v.id.values()) == whole
+    text = "def f(x):\n        return x"
+    assert len(piece_lattice.encode([text], SP)[0][0][1]) <= len(sp.encode(text))
+    model = piece_lattice.encode(["ab cd"], SP, 2, scores="model")[0]
+    assert model[0][0] == sum(sp.get_score(int(i)) for i in model[0][1]) and piece_lattice.decode(model[0][1], SP) == "ab cd"
+    rnd = random.Random(4)
+    long = "".join(rnd.choice("abcdefghijk") for _ in range(20_000))
+    tracemalloc.start()
+    found = piece_lattice.encode([long], SP)[0]
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()
+    assert len(found) == 4 and all(a[0] >= b[0] for a, b in zip(found, found[1:])) and all(piece_lattice.decode(x, SP) == long for _, x in found)
+
+
 def test_segment(spark):
     got = by_id(piece_lattice.segment(docs_of(spark, ODD), SP, with_ids=True))
     for i, t in enumerate(ODD):
@@ -546,7 +732,7 @@ def test_near_dedup_stage_links_at_shingle_similarity(spark):
     assert kept == {root(i) for i in range(len(texts))}
 
 
-def test_vantage_search_finds_every_pair(spark):
+def test_vantage_search_finds_every_pair(spark, monkeypatch):
     rng = np.random.default_rng(2)
     centre = rng.integers(0, 2**63, 300, dtype=np.uint64)
     flips = [centre ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (k, 300)).astype(np.uint64), axis=0) for k in (1, 2, 3, 4)]
@@ -570,6 +756,20 @@ def test_vantage_search_finds_every_pair(spark):
 
     near = [(int(fps[i].astype(np.int64)), int(fps[j].astype(np.int64))) for i in range(len(fps)) for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= 3)]
     assert classes(got) == classes(near)
+    # trees fitted on next to nothing, with a cluster that agrees in one half: tasks split what is too full
+    dense = [int((int(rng.integers(0, 2**31)) << 32 | 77) - (1 << 63)) for _ in range(600)]
+    spread = spark.createDataFrame([(x, 0) for x in {*[int(x.astype(np.int64)) for x in fps], *dense}], "fp long, least long")
+    monkeypatch.setattr(simhash_vptree, "SAMPLE", 1)
+    monkeypatch.setattr(simhash_vptree, "REFIT", 128)
+    largest = []
+    forest = simhash_vptree.uncrowded
+    monkeypatch.setattr(simhash_vptree, "uncrowded", lambda *x: largest.append(forest(*x)) or largest[0])
+    again = {(r.a, r.b) for r in simhash_vptree.links(spread, 3, shard=40).collect()}
+    fps = np.array(sorted({x % 2**64 for x in [*map(int, fps), *dense]}), np.uint64)
+    near = [(int(fps[i].astype(np.int64)), int(fps[j].astype(np.int64))) for i in range(len(fps)) for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= 3)]
+    assert classes(again) == classes(near)
+    homes = largest[0].where("home").groupBy("shard").count()
+    assert homes.agg(F.sum("count")).first()[0] == 2 * len(fps) and homes.agg(F.max("count")).first()[0] <= 4 * 40
 
 
 # ---------------------------------------------------------------- 9 chats
@@ -652,6 +852,25 @@ def test_ids_round_trip(spark, monkeypatch):
         assert ids.tolist() == [k for t in some for k in [*library.encode(t, add_special_tokens=False).ids, 1]] and n.sum() == len(ids)
 
 
+def test_ids_of_any_characters():
+    rnd = random.Random(7)
+    encoder = token_ids.WordEncoder(BPE)
+
+    def any_char():
+        k = rnd.random()
+        if k < 0.5:
+            return rnd.choice("abcIHTWYJK \t\n" + token_ids.TAIL + "'<|>")
+        if k < 0.7:
+            return rnd.choice("İıßéÉŉẖΐſK" + "".join(map(chr, range(0x300, 0x30D))))
+        c = rnd.randrange(0x80, 0x110000 if k < 0.8 else 0x3000)
+        return chr(c) if not 0xD800 <= c < 0xE000 else "x"
+
+    texts = ["İ.", "H\u0331!", *("".join(any_char() for _ in range(rnd.randint(0, 25))) for _ in range(6000))]
+    n, ids = encoder.texts(texts)
+    want = [[*e.ids, 1] for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert n.tolist() == list(map(len, want)) and ids.tolist() == [k for w in want for k in w]
+
+
 # ---------------------------------------------------------------- queries
 
 
