@@ -123,8 +123,8 @@ def _counting(words: Column) -> Column:
 
 def line_keys(nodes: DataFrame) -> DataFrame:
     """(key, lid) of the distinct lines (lid, norm): all join keys of their fingerprints."""
-    blanks = F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit("")))
-    few = nodes.where(blanks < 6 * FEW).select("lid", F.split("norm", " ").alias("words"))
+    fewer = lambda n: F.octet_length(F.substring_index("norm", " ", n)) == F.octet_length("norm")
+    few = nodes.where(fewer(6 * FEW)).select("lid", F.split("norm", " ").alias("words"))
     few = few.select("lid", "words", _counting(F.col("words")).alias("counting"))
     size, n = F.size("words"), F.size("counting")
     none = F.array().cast("array<long>")
@@ -135,7 +135,7 @@ def line_keys(nodes: DataFrame) -> DataFrame:
     )
     short = few.where((size <= FEW) | (n <= FEW)).select(F.explode(keys).alias("key"), "lid")
     # rows of one line stay in one task, so that its blocks are counted without another exchange
-    more = nodes.where(blanks >= FEW - 1).repartition("lid").select("lid", F.split("norm", " ").alias("words"))
+    more = nodes.where(~fewer(FEW - 1)).repartition("lid").select("lid", F.split("norm", " ").alias("words"))
     more = more.select("lid", _counting(F.col("words")).alias("counting")).where(F.size("counting") >= FEW - 1)
     more = more.select("lid", F.array_distinct(F.transform("counting", _hash)).alias("hashes"))
     m = F.size("hashes")

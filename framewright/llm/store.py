@@ -41,13 +41,16 @@ def release(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a recoverable lineage cut."""
+    """Write ``df`` to the shared folder and read it back: a recoverable lineage cut.
+
+    Shuffle files are released before the next table is written: until this call returns
+    its caller still holds the plan that owns them.
+    """
     spark = df.sparkSession
+    release(spark)
     path = new_path(spark, label)
     schema = df.schema
     df.write.parquet(path)
-    del df
-    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
