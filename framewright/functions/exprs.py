@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import RENDER_SIZE, NormalizeConfig, RenderConfig
 
+# Fixed value: what a video id is in a file name
 VIDEO_ID = r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{11})(?![A-Za-z0-9_-])"
 
 
@@ -37,7 +38,8 @@ def stem(path: Column | str) -> Column:
 
 
 def relative_path(path: Column | str, root: str) -> Column:
-    return F.regexp_replace(col(path), "^" + root.rstrip("/").replace(".", r"\.") + "/", "")
+    head = root.rstrip("/") + "/"
+    return F.when(F.startswith(col(path), F.lit(head)), F.substring(col(path), len(head) + 1, 1 << 30)).otherwise(col(path))
 
 
 def segment_uid(video: Column | str, index: Column | str) -> Column:
@@ -139,6 +141,11 @@ def above(x: Column, limit) -> Column:
     return ~F.isnan(x) & (x > limit)
 
 
+def at_least(x: Column, limit) -> Column:
+    """``x >= limit`` with NaN below everything, as in IEEE comparisons."""
+    return ~F.isnan(x) & (x >= limit)
+
+
 def even_floor(x: Column | str) -> Column:
     """Half-even rounding with the lowest bit cleared."""
     return F.bround(col(x)).cast("long").bitwiseAND(F.lit(-2).cast("long"))

@@ -24,10 +24,11 @@ from ..config import (
     RIGHT_WRIST,
     DetectConfig,
 )
+from ..functions.exprs import at_least
 
 
 def _sure(kpt: Column, k: int, least: float) -> Column:
-    return F.coalesce(F.get(kpt, F.lit(k)).conf >= least, F.lit(False))
+    return F.coalesce(at_least(F.get(kpt, F.lit(k)).conf, least), F.lit(False))
 
 
 def hand_usable(kpt: Column, wrist: int, elbow: int, box_height: Column, width: Column, height: Column, cfg: DetectConfig) -> Column:
@@ -51,7 +52,7 @@ def decide_frames(frames: DataFrame, cfg: DetectConfig = DetectConfig()) -> Data
     The first rule that holds names the reason; ``ok`` frames carry the one prominent box.
     Null and empty dets are no_detection.
     """
-    kept = F.filter(F.coalesce("dets", F.array()), lambda d: d.conf >= cfg.person_conf)
+    kept = F.filter(F.coalesce("dets", F.array()), lambda d: at_least(d.conf, cfg.person_conf))
     boxes = F.transform(
         kept,
         lambda d: F.struct(
@@ -61,7 +62,7 @@ def decide_frames(frames: DataFrame, cfg: DetectConfig = DetectConfig()) -> Data
         ),
     )
     out = frames.withColumn("_n", F.size(F.coalesce("dets", F.array()))).withColumn("_b", boxes)
-    out = out.withColumn("_tall", F.filter("_b", lambda b: b.hfrac >= cfg.min_height_frac)).withColumn("_p", F.get("_tall", F.lit(0)))
+    out = out.withColumn("_tall", F.filter("_b", lambda b: at_least(b.hfrac, cfg.min_height_frac))).withColumn("_p", F.get("_tall", F.lit(0)))
     areas = F.sort_array(F.transform("_b", lambda b: b.area), asc=False)
     out = out.withColumn("_areas", areas)
     first, second = F.get("_areas", F.lit(0)), F.get("_areas", F.lit(1))
@@ -70,7 +71,7 @@ def decide_frames(frames: DataFrame, cfg: DetectConfig = DetectConfig()) -> Data
     sure = lambda k: _sure(kpt, k, least)
     head = sure(NOSE) | (sure(LEFT_EYE) & sure(RIGHT_EYE)) | sure(LEFT_EAR) | sure(RIGHT_EAR)
     shoulder = sure(LEFT_SHOULDER) | sure(RIGHT_SHOULDER)
-    tall = F.col("_p.d.y2") - F.col("_p.d.y1")
+    tall = F.greatest(F.col("_p.d.y2") - F.col("_p.d.y1"), F.lit(1.0))
     hands = usable_hands(kpt, tall, F.col("frame_w"), F.col("frame_h"), cfg)
     lower = sum((_sure(kpt, k, cfg.lower_body_conf).cast("int") for k in LOWER_BODY), F.lit(0))
     reason = (
@@ -98,7 +99,7 @@ def decide_frames(frames: DataFrame, cfg: DetectConfig = DetectConfig()) -> Data
         F.when(ok, (d.x1 + d.x2) / 2).otherwise(0.0).alias("cx"),
         F.when(ok, (d.y1 + d.y2) / 2).otherwise(0.0).alias("cy"),
         F.when(ok, d.x2 - d.x1).otherwise(0.0).alias("w"),
-        F.when(ok, d.y2 - d.y1).otherwise(0.0).alias("h"),
+        F.when(ok, tall).otherwise(0.0).alias("h"),
         F.when(ok, kpt).alias("kpt"),
     )
 

@@ -15,7 +15,7 @@ def wrist_distances(cfg: DetectConfig) -> Column:
 
     def one(k: int) -> Column:
         p = F.get("kpt", F.lit(k))
-        return F.when(p.conf > cfg.wrist_conf_min, F.hypot(p.x - F.col("cx"), p.y - F.col("cy")))
+        return F.when(X.above(p.conf, cfg.wrist_conf_min), F.hypot(p.x - F.col("cx"), p.y - F.col("cy")))
 
     return F.filter(F.array(one(LEFT_WRIST), one(RIGHT_WRIST)), lambda d: d.isNotNull())
 
@@ -28,7 +28,7 @@ def segment_geometry(sessions: DataFrame, sizes: DataFrame | None = None, cfg: D
     insufficient_box_track; a crop under the least size gives body_below_min_crop_px.
     """
     if sizes is not None:
-        sessions = sessions.join(sizes.select("video_id", "width", "height"), "video_id")
+        sessions = sessions.join(sizes.select("video_id", "width", "height"), "video_id", "left")
     reach = sessions.withColumn("_d", F.explode_outer(wrist_distances(cfg))).groupBy(*SEGMENT).agg(
         F.coalesce(F.percentile("_d", F.lit(cfg.wrist_percentile / 100)), F.lit(0.0)).alias("wrist_reach_px"),
         F.max("width").alias("width"),
@@ -52,7 +52,7 @@ def segment_geometry(sessions: DataFrame, sizes: DataFrame | None = None, cfg: D
     )
     out = box.join(fit, SEGMENT, "left")
     small = b.side < cfg.min_crop_px
-    valid = F.col("_cx").isNotNull() & ~small
+    valid = F.col("_cx").isNotNull() & F.coalesce(~small, F.lit(False))  # no crop without a size
     return out.select(
         *SEGMENT,
         *(F.when(valid, e).alias(n) for n, e in (("bx", b.x), ("by", b.y), ("b_side", b.side), ("body_side_px", b.side))),

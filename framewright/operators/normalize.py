@@ -18,7 +18,7 @@ def flatten_probe(probes: DataFrame, retry_streams: bool = True) -> DataFrame:
     """probes (..., json) with the figures of the first video and audio streams.
 
     With ``retry_streams`` the first video stream whose rate can be read is taken, else
-    simply the first.  Documents without a rate or a width are not readable.
+    simply the first.  Documents without a rate or a width, or with one of zero, are not readable.
     """
     doc = F.from_json("json", PROBE_SCHEMA, {"mode": "PERMISSIVE"})
     out = probes.withColumn("_doc", doc)
@@ -40,7 +40,8 @@ def flatten_probe(probes: DataFrame, retry_streams: bool = True) -> DataFrame:
         F.col("_doc.format.duration").try_cast("double").alias("duration"),
         F.col("_v.nb_frames").try_cast("long").alias("nb_frames"),
     )
-    return out.withColumn("readable", F.col("avg_fps").isNotNull() & F.col("width").isNotNull())
+    some = lambda c: F.coalesce(F.col(c) != 0, F.lit(False))
+    return out.withColumn("readable", some("avg_fps") & some("width"))
 
 
 def plan(meta: DataFrame, cfg: NormalizeConfig = NormalizeConfig()) -> DataFrame:
@@ -51,19 +52,20 @@ def plan(meta: DataFrame, cfg: NormalizeConfig = NormalizeConfig()) -> DataFrame
 def verify(source: DataFrame, output: DataFrame, key: str = "video_id", cfg: NormalizeConfig = NormalizeConfig()) -> DataFrame:
     """Five checks of each output against its source, and the two deltas in milliseconds.
 
-    Checks whose durations are unknown or zero pass.
+    A source lasts as long as its video stream, or else its container; an output as long as
+    its container; sound is held against the output's video stream.  Checks whose durations
+    are unknown or zero pass.
     """
     names = ("avg_fps", "width", "height", "v_duration", "a_duration", "duration", "has_audio")
     s = source.select(key, *(F.col(c).alias(f"s_{c}") for c in names))
     d = output.select(key, *(F.col(c).alias(f"d_{c}") for c in names))
     both = s.join(d, key)
-    length = lambda p: F.coalesce(X.falsy(f"{p}_v_duration"), X.falsy(f"{p}_duration"))
-    both = both.withColumn("_sd", length("s")).withColumn("_dd", length("d"))
-    audio = X.falsy("d_a_duration")
+    both = both.withColumn("_sd", F.coalesce(X.falsy("s_v_duration"), X.falsy("s_duration"))).withColumn("_dd", X.falsy("d_duration"))
+    audio, video = X.falsy("d_a_duration"), X.falsy("d_v_duration")
     rules = {
-        "fps_ok": F.coalesce(F.abs(F.col("d_avg_fps") - cfg.fps) <= cfg.verify_fps_tolerance, F.lit(False)),
+        "fps_ok": F.coalesce(F.abs(F.col("d_avg_fps") - cfg.fps) < cfg.verify_fps_tolerance, F.lit(False)),
         "duration_ok": F.coalesce(F.abs(F.col("_dd") - F.col("_sd")) <= cfg.duration_tolerance, F.lit(True)),
-        "av_ok": F.coalesce(~F.col("d_has_audio") | (F.abs(audio - F.col("_dd")) <= cfg.av_tolerance), F.lit(True)),
+        "av_ok": F.coalesce(~F.col("d_has_audio") | (F.abs(audio - video) <= cfg.av_tolerance), F.lit(True)),
         "audio_ok": F.col("s_has_audio").eqNullSafe(F.col("d_has_audio")),
         "size_ok": F.col("s_width").eqNullSafe(F.col("d_width")) & F.col("s_height").eqNullSafe(F.col("d_height")),
     }
@@ -71,7 +73,7 @@ def verify(source: DataFrame, output: DataFrame, key: str = "video_id", cfg: Nor
         key,
         *(e.alias(n) for n, e in rules.items()),
         X.delta_ms("_sd", "_dd").alias("dur_delta_ms"),
-        F.when(F.col("d_has_audio"), X.delta_ms("_dd", audio)).alias("av_delta_ms"),
+        F.when(F.col("d_has_audio"), X.delta_ms(video, audio)).alias("av_delta_ms"),
     )
     every = F.lit(True)
     for n in rules:
@@ -110,5 +112,5 @@ def with_original_fps(videos: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def fps_gate(fps: Column, target: float = 25.0, tolerance: float = 0.01) -> Column:
-    """``fps=...`` where a rate is off the target, else null."""
-    return F.when(F.coalesce(F.abs(fps - target) > tolerance, F.lit(True)), F.format_string("fps=%.3f", fps))
+    """``fps=...`` where a rate is off the target or unknown, else null."""
+    return F.when(F.coalesce(F.abs(fps - target) > tolerance, F.lit(True)), F.coalesce(F.when(fps.isNotNull(), F.format_string("fps=%.3f", fps)), F.lit("fps=unknown")))

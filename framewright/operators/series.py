@@ -144,7 +144,7 @@ def motion(sessions: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFrame
         "_kpt",
         "kpt",
         lambda a, b: F.when(
-            (a.conf >= cfg.kpt_conf) & (b.conf >= cfg.kpt_conf), (F.abs(b.x - a.x) + F.abs(b.y - a.y)) / 2
+            X.at_least(a.conf, cfg.kpt_conf) & X.at_least(b.conf, cfg.kpt_conf), (F.abs(b.x - a.x) + F.abs(b.y - a.y)) / 2
         ),
     )
     sure = F.filter("_m", lambda m: m.isNotNull())

@@ -313,6 +313,62 @@ def kpt_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("vec_id", "i").agg(F.round(F.sum("v"), 4).alias("total"), F.round(F.max(F.when(F.col("k") == 9, F.col("v"))), 6).alias("wrist"))
 
 
+def _flat_keypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened arrays: the first 51 numbers of a vector are 3 detections of 17 points, x; y and conf follow by sums."""
+    rows = P.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("segment_uid"), F.slice("embedding", 1, 51).cast("array<double>").alias("kpt_x"))
+    shifted = F.transform("kpt_x", lambda v: v + 1), F.transform("kpt_x", lambda v: F.abs(v))
+    return rows.select("segment_uid", F.when(F.col("segment_uid") % 5 == 0, 0).otherwise(3).alias("n_detections"), "kpt_x", shifted[0].alias("kpt_y"), shifted[1].alias("kpt_conf"))
+
+
+_POINT_COLUMNS = {"ls": 5, "rs": 6, "lw": 9, "rw": 10, "nose": 0}
+_EXPLODED_SQL = ", ".join(
+    f"round(CAST(embedding[i * 17 + {k + 1}] AS DOUBLE), 6) AS {n}_x, round(CAST(embedding[i * 17 + {k + 1}] AS DOUBLE) + 1, 6) AS {n}_y, round(abs(CAST(embedding[i * 17 + {k + 1}] AS DOUBLE)), 6) AS {n}_c"
+    for n, k in _POINT_COLUMNS.items()
+)
+
+
+def _exploded_columns() -> list:
+    return [F.round(f"{n}_{c}", 6).alias(f"{n}_{c}") for n in _POINT_COLUMNS for c in "xyc"]
+
+
+@query(f"SELECT vec_id AS segment_uid, i, {_EXPLODED_SQL} FROM embeddings, range(3) r(i) WHERE vec_id % 5 <> 0")
+def explode_keypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = windows.explode_keypoints(_flat_keypoints(spark, sf_dir))
+    return out.select("segment_uid", F.col("i").cast("long").alias("i"), *_exploded_columns())
+
+
+@query(
+    f"""SELECT vec_id AS segment_uid, i, vec_id + i AS frame_idx, CAST(i * 2 AS DOUBLE) AS cx, CAST(i * 3 AS DOUBLE) AS cy, CAST(i + 50 AS DOUBLE) AS h, {_EXPLODED_SQL}
+FROM embeddings, range(3) r(i) WHERE vec_id % 5 <> 0 AND vec_id % 3 = 0"""
+)
+def segment_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keypoints = _flat_keypoints(spark, sf_dir)
+    series_of = lambda f: F.transform(F.sequence(F.lit(0), F.lit(2)), f)
+    manifest = keypoints.select(
+        "segment_uid", F.when(F.col("segment_uid") % 3 == 0, "ok").otherwise("no_segments").alias("status"), F.col("segment_uid").alias("start_frame"), F.lit(640).alias("width"), F.lit(360).alias("height"),
+        series_of(lambda i: F.col("segment_uid") + i).alias("track_frames"), series_of(lambda i: i * 2.0).cast("array<double>").alias("track_cx"), series_of(lambda i: i * 3.0).cast("array<double>").alias("track_cy"),
+        series_of(lambda i: i + 50.0).cast("array<double>").alias("track_h"),
+    )
+    out = windows.segment_detections(manifest, keypoints)
+    return out.select("segment_uid", F.col("i").cast("long").alias("i"), F.col("frame_idx").cast("long").alias("frame_idx"), "cx", "cy", "h", *_exploded_columns())
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, CAST(l_quantity * sx AS DOUBLE) AS cx, CAST((l_partkey % 60) * sy AS DOUBLE) AS cy, CAST((l_suppkey % 9) * sx AS DOUBLE) AS w, CAST((l_suppkey % 7) * sy AS DOUBLE) AS h,
+  CAST((l_partkey % 40) * sx AS DOUBLE) AS nose_x FROM (SELECT *, 1920.0::DOUBLE / (640 + 2 * (l_suppkey % 3)) AS sx, 1080.0::DOUBLE / (360 + 2 * (l_suppkey % 5)) AS sy FROM lineitem)"""
+)
+def to_source_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded frames have odd sizes here as well: the last bit is cleared before they scale."""
+    n = lambda c: c.cast("double")
+    s, p = F.col("l_suppkey"), F.col("l_partkey")
+    rows = P.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", n(F.col("l_quantity")).alias("cx"), n(p % 60).alias("cy"), n(s % 9).alias("w"), n(s % 7).alias("h"), F.lit(1920).alias("width"), F.lit(1080).alias("height"),
+        (640 + 2 * (s % 3) + s % 2).alias("frame_w"), (360 + 2 * (s % 5) + p % 2).alias("frame_h"), F.array(F.struct(n(p % 40).alias("x"), n(p % 60).alias("y"), F.lit(0.5).alias("conf"))).alias("kpt"),
+    )
+    out = decide.to_source_pixels(rows)
+    return out.select("l_orderkey", "l_linenumber", "cx", "cy", "w", "h", F.col("kpt")[0].x.alias("nose_x"))
+
+
 # ---------------------------------------------------------------- ingest
 
 _TRIAGE_SQL = """tri AS (
@@ -398,6 +454,7 @@ def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.alias("json"))
 
 
+_PENDING_BUCKET = "(('0x' || md5(CAST(o_orderkey AS VARCHAR)))::UHUGEINT % 30)::BIGINT"
 _PROBE_SQL = """pb AS (
   SELECT l_orderkey, l_linenumber, CASE l_linenumber % 5 WHEN 1 THEN 25.0 WHEN 2 THEN 30000.0 / 1001 WHEN 4 THEN 25.0 END AS avg_fps,
     CAST(l_suppkey % 2000 + 1 AS BIGINT) AS width, CASE WHEN l_linenumber % 2 = 0 THEN 'vp9' ELSE 'h264' END AS codec, l_linenumber % 3 <> 0 AS has_audio,
@@ -424,14 +481,14 @@ def _pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     price = F.col("o_totalprice")
     source = P.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("video_id"), one(30.0).alias("avg_fps"), (F.col("o_custkey") % 3).cast("int").alias("width"), one(720).alias("height"),
-        F.when(F.col("o_orderkey") % 7 != 0, F.floor(price) / 8).alias("v_duration"), one(1.0).alias("a_duration"), (F.floor(price) / 8).alias("duration"), (F.col("o_orderkey") % 5 != 0).alias("has_audio"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.floor(price) / 8).alias("v_duration"), one(1.0).alias("a_duration"), (F.floor(price) / 8 + F.when(F.col("o_orderkey") % 7 != 0, 5.0).otherwise(0.0)).alias("duration"), (F.col("o_orderkey") % 5 != 0).alias("has_audio"),
     )
     lines = P.table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("o"), "l_quantity", "l_partkey", "l_suppkey")
     both = P.table(spark, sf_dir, "orders").join(lines, F.col("o") == F.col("o_orderkey"))
     moved = F.floor(price) / 8 + (F.col("l_partkey") % 9 - 4) / F.lit(32.0)
     output = both.select(
         F.col("o_orderkey").alias("video_id"), (F.lit(25.0) + F.when(F.col("l_suppkey") % 11 == 0, 0.5).otherwise(0.0)).alias("avg_fps"), ((F.col("o_custkey") + F.when(F.col("l_quantity") > 45, 1).otherwise(0)) % 3).cast("int").alias("width"),
-        one(720).alias("height"), moved.alias("v_duration"), (moved + (F.col("l_suppkey") % 7) / F.lit(32.0)).alias("a_duration"), moved.alias("duration"), (F.col("o_orderkey") % 5 != 0).alias("has_audio"),
+        one(720).alias("height"), (moved + 3.0).alias("v_duration"), (moved + 3.0 + (F.col("l_suppkey") % 7) / F.lit(32.0)).alias("a_duration"), moved.alias("duration"), (F.col("o_orderkey") % 5 != 0).alias("has_audio"),
     )
     return source, output
 
@@ -444,11 +501,36 @@ _VERIFY_SQL = """vf AS (
 
 @query(
     f"""WITH {_VERIFY_SQL} SELECT video_id, fps_ok, duration_ok, av_ok, size_ok, round_even((dd - sd) * 1000, 1) AS dur_delta_ms,
-  fps_ok AND duration_ok AND av_ok AND size_ok AS verified FROM vr"""
+  CASE WHEN audio AND lead_s >= 0 THEN round_even(lead_s * 1000, 1) END AS av_delta_ms, fps_ok AND duration_ok AND av_ok AND size_ok AS verified FROM vr"""
 )
 def verify_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = normalize.verify(*_pair(spark, sf_dir))
-    return out.select("video_id", "fps_ok", "duration_ok", "av_ok", "size_ok", F.round("dur_delta_ms", 1).alias("dur_delta_ms"), "verified")
+    return out.select("video_id", "fps_ok", "duration_ok", "av_ok", "size_ok", F.round("dur_delta_ms", 1).alias("dur_delta_ms"), "av_delta_ms", "verified")
+
+
+@query(
+    f"""WITH {_PROBE_SQL}, p2 AS (SELECT *, coalesce(abs(25.0 - avg_fps) / nullif(avg_fps, 0) > 0.01, TRUE) AS vfr FROM pb),
+p3 AS (SELECT CASE WHEN coalesce(abs(avg_fps - 25) < 0.001, FALSE) AND NOT vfr AND codec IN ('h264', 'hevc') THEN CASE WHEN l_orderkey % 4 = 0 THEN 'copy->transcode' ELSE 'copy' END ELSE 'transcode' END AS mode FROM p2)
+SELECT mode, count(*) AS n FROM p3 GROUP BY 1"""
+)
+def mode_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = normalize.plan(normalize.flatten_probe(_probes(spark, sf_dir)))
+    return normalize.histogram(planned.withColumn("mode", normalize.final_mode(F.col("mode"), F.col("l_orderkey") % 4 == 0)), "mode")
+
+
+@query("SELECT count(*) FILTER (WHERE o_orderstatus = 'F') AS ok, count(*) FILTER (WHERE o_orderstatus <> 'F') AS failed, sum(o_custkey % 7)::DOUBLE AS elapsed_s FROM orders")
+def render_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = P.table(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") == "F", "ok").otherwise("ffmpeg_failed").alias("status"), (F.col("o_custkey") % 7).cast("double").alias("elapsed_s"))
+    return shard.render_counters(log)
+
+
+@query(
+    f"""SELECT window_uid, {_PENDING_BUCKET} AS bucket FROM (SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS window_uid FROM orders WHERE o_orderstatus <> 'F')"""
+)
+def pending_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left to render in all shards, with each window's shard."""
+    rows = P.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("window_uid"), F.when(F.col("o_orderstatus") == "F", "ok").otherwise("ffmpeg_failed").alias("status"))
+    return shard.pending(rows.select("window_uid"), rows).select("window_uid", X.stable_bucket(F.col("window_uid"), 30).alias("bucket"))
 
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1")

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 
 # Media suffixes that each stage accepts
-INGEST_SUFFIXES = (".mp4", ".mkv", ".webm", ".mov", ".avi")
-NORMALIZE_SUFFIXES = (".mp4", ".mkv", ".webm", ".mov", ".avi", ".m4v", ".mpg", ".mpeg", ".ts")
-DETECT_SUFFIXES = (".mp4", ".mkv", ".webm", ".mov", ".avi")
+INGEST_SUFFIXES = (".mp4", ".mkv", ".mov", ".webm", ".avi")
+NORMALIZE_SUFFIXES = (".mp4", ".mkv", ".mov", ".avi", ".webm", ".m4v", ".mpg", ".mpeg", ".ts")
+DETECT_SUFFIXES = (".mp4", ".mkv", ".mov", ".webm", ".m4v")
 REPORT_SCHEMA = (
     "video_id string, src string, dst string, status string, mode string, src_fps double, vfr boolean, out_fps double, "
     "dur_delta_ms double, av_delta_ms double, has_audio boolean, error string, _corrupt_record string"
@@ -25,10 +25,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _place() -> Column:
+    """Where a row stands: file, part of the file, row; by these, rows of several files keep an order."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+
+
 def id_list(spark: SparkSession, path: str) -> DataFrame:
     """(pos, video_id): first CSV column, trimmed, of length 11; file order, repeats kept."""
     rows = spark.read.schema("c0 string").option("mode", "PERMISSIVE").csv(path)
-    rows = rows.select(F.monotonically_increasing_id().alias("pos"), F.trim("c0").alias("video_id"))
+    rows = rows.select(_place().alias("pos"), F.trim("c0").alias("video_id"))
     return rows.where(F.length("video_id") == 11)
 
 
@@ -83,7 +88,7 @@ def done_list(spark: SparkSession, path: str) -> DataFrame:
 def report(spark: SparkSession, path: str) -> DataFrame:
     """A JSON-lines report with its positions; broken lines and records without an id go."""
     rows = spark.read.schema(REPORT_SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    rows = rows.withColumn("position", F.monotonically_increasing_id())
+    rows = rows.withColumn("position", _place())
     return rows.where("_corrupt_record is null and video_id is not null").drop("_corrupt_record")
 
 

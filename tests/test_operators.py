@@ -301,11 +301,40 @@ def test_probe_flattening(spark):
 def test_duration_check(spark, delta, ok):
     schema = "video_id string, avg_fps double, width int, height int, v_duration double, a_duration double, duration double, has_audio boolean"
     s = spark.createDataFrame([("v", 30.0, 8, 8, 10.0, None, None, False)], schema)
-    d = spark.createDataFrame([("v", 25.0, 8, 8, None if delta is None else 10.0 + delta, None, None, False)], schema)
+    d = spark.createDataFrame([("v", 25.0, 8, 8, 99.0, None, None if delta is None else 10.0 + delta, False)], schema)
     row = normalize.verify(s, d).first()
     assert (row.duration_ok, row.verified) == (ok, ok)
 
 
+def test_verify_uses_containers_and_streams_as_named(spark):
+    schema = "video_id string, avg_fps double, width int, height int, v_duration double, a_duration double, duration double, has_audio boolean"
+    s = spark.createDataFrame([(v, 30.0, 8, 8, 10.0, 10.0, 12.0, True) for v in "abcd"], schema)
+    d = spark.createDataFrame([("a", 25.0, 8, 8, 12.0, 12.0, 10.0, True), ("b", 25.0, 8, 8, 10.0, 10.0, 12.0, True), ("c", 25.0, 8, 8, None, 11.0, 10.0, True), ("d", 25.01, 8, 8, 10.0, 10.2, 10.0, True)], schema)
+    got = {r.video_id: (r.duration_ok, r.av_ok, r.fps_ok, r.verified) for r in normalize.verify(s, d).collect()}
+    assert got["a"] == (True, True, True, True) and got["b"] == (False, True, True, False) and got["c"] == (True, True, True, True) and got["d"][1] is False
+
+
+def test_zero_rates_and_widths_are_not_readable(spark):
+    docs = [{"streams": [{"codec_type": "video", "width": w, "height": 4, "avg_frame_rate": r, "r_frame_rate": "25/1"}]} for w, r in ((0, "25/1"), (8, "0/1"), (8, "25/1"))]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, json string")
+    assert [r.readable for r in normalize.flatten_probe(df).orderBy("id").collect()] == [False, False, True]
+
+
+def test_not_a_number_is_below_every_limit(spark):
+    nan = float("nan")
+    kpt = [(1.0, 1.0, nan)] * 17
+    box = (0.0, 0.0, 50.0, 50.0)
+    rows = [(0, 60, 100, [(*box, 0.9, kpt)]), (1, 60, 100, [(*box, nan, kpt)])]
+    frames = spark.createDataFrame(rows, "frame_idx int, frame_h int, frame_w int, dets array<struct<x1: double, y1: double, x2: double, y2: double, conf: double, kpt: array<struct<x: double, y: double, conf: double>>>>")
+    assert [r.reason for r in decide.decide_frames(frames).orderBy("frame_idx").collect()] == ["no_face_or_shoulder", "low_conf"]
+
+
+def test_relative_paths_and_rates(spark):
+    assert [one(spark, X.relative_path(F.lit(p), "/a+b/")) for p in ("/a+b/c/d.mp4", "/aab/c.mp4")] == ["c/d.mp4", "/aab/c.mp4"]
+    assert one(spark, normalize.fps_gate(F.lit(None).cast("double"))) == "fps=unknown" and one(spark, normalize.fps_gate(F.lit(25.0))) is None
+    assert one(spark, X.error_tail(F.lit("one\ntwo"), 5)) == "e two" and len(one(spark, X.utc_now())) == 20
+
+
 def test_status_log_and_resume(spark):
     manifest = spark.createDataFrame([(f"u{i}",) for i in range(20)], "window_uid string")
     log = spark.createDataFrame([("u1", "ffmpeg_failed"), ("u1", "ok"), ("u2", "ffmpeg_failed")], "window_uid string, status string")
