@@ -879,15 +879,99 @@ def test_queries_match_sql(spark, oracle, name):
     same_rows(queries.queries()[name](spark, DATA), oracle, queries.oracle_sql()[name])
 
 
+def _first_of_groups(texts, similarity=0.8, size=5):
+    """Ids that stay: the smallest of every group of texts whose sets of shingles are alike."""
+    sets = {}
+    for i, t in texts.items():
+        w = [x.lower() for x in WORD.findall(t or "")]
+        sets[i] = {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in sets.items():
+        for j, y in sets.items():
+            if i < j and len(x & y) >= similarity * len(x | y):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return {i for i in sets if root(i) == i}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
-    kept = docs
+    kept, texts = docs, [{r.doc_id: r.text for r in docs.collect()}]
     for name, stage in corpus_pipeline.STAGES:
         before = {r.doc_id for r in kept.select("doc_id").collect()}
         kept = line_dedup.store.cut(stage(spark, kept, DATA), name)
         after = {r.doc_id for r in kept.select("doc_id").collect()}
         assert after <= before and (name == "sentencepiece" or kept.columns == docs.columns)
+        if name != "sentencepiece":
+            texts.append({r.doc_id: r.text for r in kept.collect()})
     assert 0.5 * len(ids) < kept.count() < len(ids) and kept.where("not decodes").count() == 0
+    whole, good, lines, single, clean = texts
+    verdict = fertility.verdicts(fertility.measure([t or "" for t in whole.values()], SP))[1]
+    assert set(good) == {i for i, ok in zip(whole, verdict) if ok} and all(good[i] == whole[i] for i in good)
+    # a line that went has a like line further up, every line that stayed is as it was
+    norm = lambda x: " ".join(re.findall(r"[^\W_]+", x.lower()))
+    seen, lost = set(), 0
+    for i in sorted(good):
+        stay = iter((lines.get(i) or "").split("\n"))
+        nxt = next(stay, None)
+        for x in (good[i] or "").split("\n"):
+            if nxt == x:
+                nxt = next(stay, None)
+                assert not norm(x) or norm(x) not in seen
+            else:
+                lost += 1
+                a = norm(x)
+                assert a in seen or any(abs(len(a) - len(b)) <= 0.2 * max(len(a), len(b)) and len(set(a.split()) & set(b.split())) > 0 for b in seen)
+            seen.add(norm(x))
+        assert nxt is None or i not in lines
+    assert lost > 20
+    assert set(single) == _first_of_groups(lines) and all(single[i] == lines[i] for i in single)
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    found = decontaminate._items(pa.array([single[i] or "" for i in single]), decontaminate.Probes(bench))
+    assert set(clean) == {i for i, x in zip(single, found) if not x}
+    for r in kept.collect():
+        assert piece_lattice.decode(r.ids, SP) == (clean[r.doc_id] or "")
+        assert r.ids_crc32 == piece_lattice.crc(piece_lattice.encode([clean[r.doc_id] or ""], SP, 1)[0][0][1])
+
+
+def test_registered_queries_give_their_columns(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = queries.queries()
+    rows = {r.doc_id: r for r in got["op4_fertility"](spark, DATA).collect()}
+    for i, t in text.items():
+        w = WORD.findall(t)
+        assert (rows[i].n_words, rows[i].word_chars) == (len(w), sum(map(len, w)))
+    rows = got["op3_toxicity"](spark, DATA).collect()
+    assert {r.doc_id for r in rows} == set(text) and all(r.predicted == int(r.score >= 0.7) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    from tokenizers import Tokenizer
+
+    library, start = Tokenizer.from_file(BPE), 0
+    for r in sorted(got["op10_token_ids"](spark, DATA).collect()):
+        ids = [*library.encode(text[r.doc_id], add_special_tokens=False).ids, 1]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    rows = {r.doc_id: r for r in got["op8_simhash_vptree"](spark, DATA).collect()}
+    prints = {}
+    for i, t in text.items():
+        w = [x.encode().translate(words.LOWER.tobytes()) for x in WORD.findall(t)]
+        parts = [b" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
+        prints[i] = simhash_vptree.fingerprint(parts)
+        assert rows[i].fingerprint == f"{prints[i]:016x}"
+    for i in prints:
+        for j in prints:
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                assert rows[i].component_id == rows[j].component_id <= min(i, j)
+    found = decontaminate._items(pa.array([text[i] for i in text]), decontaminate.Probes([(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]))
+    assert {r.doc_id: r.item_ids for r in got["op5_decontaminate"](spark, DATA).collect()} == dict(zip(text, found))
+    for name in ("op1_line_dedup", "op6_piece_lattice"):
+        assert got[name](spark, DATA).count() == len(text)
