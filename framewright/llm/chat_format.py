@@ -5,6 +5,8 @@ elements share one path); the hash of the sorted paths selects a declarative map
 says where the turns are.  A mapping is data: either the path of a list of messages with
 the names of its role and text fields, or an ordered list of (role, field) pairs, with role
 names to translate.  Fields that may be missing give one fingerprint for each combination.
+Fields that say nothing about the turns (IGNORABLE, with all below them) are left out of a
+schema, unless a mapping names them.
 
 Turns are written as ``<|turn|>role``, a line feed, the text, ``<|end|>`` and a line feed.
 Inside roles and texts a backslash is doubled and ``<|`` becomes ``<\\|``, so no text can
@@ -38,18 +40,18 @@ class Mapping:
     messages: str | None = None  # the field with the list of messages
     role: str = "role"
     text: str = "content"
-    fields: tuple[tuple[str, str], ...] = ()  # (role, field), in turn order
+    fields: tuple[tuple[str, str | tuple[str, ...]], ...] = ()  # (role, field or fields to put one below the other), in turn order
     optional: tuple[str, ...] = ()  # top-level fields that may be missing
     roles: tuple[tuple[str, str], ...] = ()  # role name -> canonical role
 
     def paths(self) -> set[str]:
         if self.messages:
             return {self.messages, f"{self.messages}[]", f"{self.messages}[].{self.role}", f"{self.messages}[].{self.text}"}
-        return {f for _, f in self.fields}
+        return {f for _, fields in self.fields for f in _several(fields)}
 
     def schemas(self) -> list[frozenset[str]]:
         """Field paths of the layout with and without each optional field."""
-        extra = [o for o in self.optional if o not in dict(map(reversed, self.fields))]
+        extra = [o for o in self.optional if o not in self.paths()]
         base = self.paths() - set(self.optional)
         free = [o for o in self.optional if o not in extra] + extra
         return [frozenset(base | set(chosen)) for n in range(len(free) + 1) for chosen in combinations(free, n)]
@@ -59,11 +61,20 @@ class Mapping:
         if self.messages:
             found = [(m.get(self.role), m.get(self.text)) for m in record[self.messages]]
         else:
-            found = [(r, record[f]) for r, f in self.fields if f in record]
+            found = [(r, _joined([record[f] for f in _several(fields) if f in record])) for r, fields in self.fields if any(f in record for f in _several(fields))]
             found = [(r, t) for r, t in found if t is not None or r != "system"]
         return [(names.get(r, r) if isinstance(r, str) else "", _text(t)) for r, t in found]
 
 
+def _several(fields: str | tuple[str, ...]) -> tuple[str, ...]:
+    return (fields,) if isinstance(fields, str) else fields
+
+
+def _joined(values: list):
+    """One value as it is; of several the texts that aren't empty, a blank line between them."""
+    return values[0] if len(values) == 1 else "\n\n".join(t for t in map(_text, values) if t)
+
+
 def _text(value) -> str:
     if value is None:
         return ""
@@ -72,16 +83,27 @@ def _text(value) -> str:
 
 _SHARE = (("human", "user"), ("gpt", "assistant"))
 MAPPINGS = (
-    Mapping("messages", messages="messages", optional=("id",)),
-    Mapping("conversations", messages="conversations", role="from", text="value", roles=_SHARE, optional=("id",)),
+    Mapping("messages", messages="messages"),
+    Mapping("conversations", messages="conversations", role="from", text="value", roles=_SHARE),
     Mapping("dialog", messages="dialog", role="speaker", text="utterance", roles=_SHARE),
-    Mapping("prompt", fields=(("system", "system"), ("user", "prompt"), ("assistant", "response")), optional=("system", "id")),
-    Mapping("completion", fields=(("system", "system"), ("user", "prompt"), ("assistant", "completion")), optional=("system", "id")),
-    Mapping("instruction", fields=(("system", "system"), ("user", "instruction"), ("assistant", "output")), optional=("system", "id")),
-    Mapping("question", fields=(("system", "system"), ("user", "question"), ("assistant", "answer")), optional=("system", "id")),
+    Mapping("prompt", fields=(("system", "system"), ("user", "prompt"), ("assistant", "response")), optional=("system",)),
+    Mapping("completion", fields=(("system", "system"), ("user", "prompt"), ("assistant", "completion")), optional=("system",)),
+    Mapping("instruction", fields=(("system", "system"), ("user", "instruction"), ("assistant", "output")), optional=("system",)),
+    Mapping("task", fields=(("system", "system"), ("user", ("instruction", "input")), ("assistant", "output")), optional=("system",)),
+    Mapping("question", fields=(("system", "system"), ("user", "question"), ("assistant", "answer")), optional=("system",)),
 )
 
 
+#: Fields that tell about a record or a message, never what is said
+IGNORABLE = frozenset({"id", "source", "name", "model", "created", "timestamp", "lang", "language", "category", "tags", "score", "weight", "metadata", "meta"})
+
+
+def schema_paths(value, named: frozenset[str] = frozenset()) -> set[str]:
+    """The field paths that make a record's schema: without ignorable fields that no mapping names."""
+    skip = IGNORABLE - named
+    return {p for p in field_paths(value) if not any(part.rstrip("[]") in skip for part in p.split("."))}
+
+
 def field_paths(value, prefix: str = "") -> set[str]:
     """Paths of all fields below a JSON value; iterative, so depth is no limit."""
     out: set[str] = set()
@@ -117,7 +139,12 @@ def registry(mappings=MAPPINGS) -> dict[str, Mapping]:
     return out
 
 
-def canonical(record: str, known: dict[str, Mapping]) -> tuple[str, list[tuple[str, str]] | None]:
+def named_fields(known: dict[str, Mapping]) -> frozenset[str]:
+    """Field names that the mappings use."""
+    return frozenset(part.rstrip("[]") for m in set(known.values()) for p in m.paths() for part in p.split("."))
+
+
+def canonical(record: str, known: dict[str, Mapping], named: frozenset[str] | None = None) -> tuple[str, list[tuple[str, str]] | None]:
     """(fingerprint, turns) of a JSON record; None if no mapping has its schema."""
     try:
         value = json.loads(record)
@@ -125,7 +152,7 @@ def canonical(record: str, known: dict[str, Mapping]) -> tuple[str, list[tuple[s
         return "", None
     if not isinstance(value, dict):
         return "", None
-    print_ = fingerprint(field_paths(value))
+    print_ = fingerprint(schema_paths(value, named_fields(known) if named is None else named))
     mapping = known.get(print_)
     return print_, mapping.turns(value) if mapping else None
 
@@ -199,11 +226,12 @@ def format_records(table: DataFrame, mappings=MAPPINGS) -> DataFrame:
 
     def run(batches):
         known = registry(mappings)
+        named = named_fields(known)
         spans = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             rows = []
             for record in batch.column(1).to_pylist():
-                print_, turns = canonical(record, known)
+                print_, turns = canonical(record, known, named)
                 text, loss = format_turns(turns) if turns is not None else (None, None)
                 rows.append((print_, known[print_].name if turns is not None else None, text, loss and [{"begin": a, "end": b} for a, b in loss] if loss else loss))
             cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.string(), spans))]
