@@ -213,6 +213,7 @@ def links(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect every pair of linked lines; nodes: lid, norm, all distinct."""
     spark = nodes.sparkSession
     keys = store.cut(line_keys(nodes), "keys")
+    store.settle(spark)
     shared = keys.groupBy("key").agg(F.min("lid").alias("hub"), F.max("lid").alias("top")).where("hub < top").select("key", "hub")
     shared = store.cut(shared, "shared")
     busy = store.cut(keys.join(shared, "key"), "busy")  # few: most keys are one line's
@@ -247,6 +248,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     nodes = store.cut(seen.groupBy("lid").agg(F.min(place).alias("f"), F.first("norm").alias("norm")), "nodes")
     slim = store.cut(seen.drop("norm"), "occurrences")
     store.drop(spark, seen)
+    store.settle(spark)
     edges = links(nodes.select("lid", "norm"))
     names = components(edges).withColumnRenamed("node", "lid")
     grouped = store.cut(nodes.select("lid", "f").join(names, "lid", "left").withColumn("component", F.coalesce("component", "lid")), "grouped")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def settle(spark: SparkSession, rounds: int = 3) -> None:
+    """Wait until the shuffle files of the last large table are gone.
+
+    What owns them hangs together, and one collection frees only what nothing else holds;
+    the cleaner then works in the background.
+    """
+    for _ in range(rounds):
+        release(spark)
+        time.sleep(0.5)
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a recoverable lineage cut.
 
