@@ -216,6 +216,7 @@ def links(nodes: DataFrame) -> DataFrame:
     store.settle(spark)
     shared = keys.groupBy("key").agg(F.min("lid").alias("hub"), F.max("lid").alias("top")).where("hub < top").select("key", "hub")
     shared = store.cut(shared, "shared")
+    store.settle(spark)
     busy = store.cut(keys.join(shared, "key"), "busy")  # few: most keys are one line's
     store.drop(spark, keys)
     store.drop(spark, shared)
