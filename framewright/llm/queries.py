@@ -34,7 +34,7 @@ def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), order=2)
 
 
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:

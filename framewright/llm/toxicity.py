@@ -1,5 +1,9 @@
 """Toxicity scores from two class-conditional Kneser-Ney models.
 
+The models of order 2, which op3 scores by, are those of :mod:`word_pairs`: exact counts of
+pairs of words with exact continuation counts.  What follows is the model of words alone
+(order 1), and the curve and the folds that both share.
+
 Each class model is P(word) = max(c - D, 0) / N + reserve * shared(word), where the reserve
 is the mass that the discounts min(c, D) leave, so that a model sums to one.  Both models
 share their backoff counts: shared(word) goes by the number of different words that it
@@ -212,9 +216,24 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(1)).cast("int")
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, np.ndarray]:
+def word_model(marked: DataFrame) -> Model:
+    """The written model of words alone over marked texts (text, slot)."""
+    spark = marked.sparkSession
+    counted = store.cut(count_words(marked).withColumn("k", _followed()), "words")
+    totals = class_totals(counted)
+    # the others' ratio is that of the reserves
+    kept = counted.where((F.col("c0") + F.col("c2") > DISCOUNT) | (F.col("c1") + F.col("c3") > DISCOUNT)).drop("seen")
+    blocks = max(1, -(-kept.count() // BLOCK_WORDS))
+    folder = store.new_path(spark, "model")
+    kept.withColumn("block", F.pmod("w", F.lit(blocks)).cast("int")).repartition(blocks, "block").write.partitionBy("block").parquet(folder)
+    store.drop(spark, counted)
+    return Model(folder, blocks, totals)
+
+
+def train(docs: DataFrame, labels: DataFrame, order: int = 1) -> tuple[Model, np.ndarray]:
     """(model, weights of the logistic curve) from the rows of folds 0 and 2."""
-    spark = docs.sparkSession
+    from .word_pairs import pair_model
+
     known = (
         labels.where("toxic is not null and doc_id is not null")
         .withColumn("fold", fold(F.col("doc_id")))
@@ -226,15 +245,15 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, np.ndarray]:
     texts = docs.select("doc_id", "text").where(fold(F.col("doc_id")) != 1)
     # labels grow with the corpus, so they are never broadcast: one plan at every size
     marked = texts.join(known.hint("merge"), "doc_id")
-    counted = store.cut(count_words(marked).withColumn("k", _followed()), "words")
-    totals = class_totals(counted)
-    # the others' ratio is that of the reserves
-    kept = counted.where((F.col("c0") + F.col("c2") > DISCOUNT) | (F.col("c1") + F.col("c3") > DISCOUNT)).drop("seen")
-    blocks = max(1, -(-kept.count() // BLOCK_WORDS))
-    folder = store.new_path(spark, "model")
-    kept.withColumn("block", F.pmod("w", F.lit(blocks)).cast("int")).repartition(blocks, "block").write.partitionBy("block").parquet(folder)
-    store.drop(spark, counted)
-    model = Model(folder, blocks, totals)
+    if order == 2:
+        # a table of the learned texts alone is small; the join's shuffle files go before pairs are counted
+        marked = store.cut(marked.select("text", "slot"), "marked")
+        store.settle(docs.sparkSession)
+        model = pair_model(marked)
+        store.drop(docs.sparkSession, marked)
+    else:
+        model = word_model(marked)
+    blocks = model.blocks
 
     def cross(batches):
         for parts in _stretches(batches, blocks):
@@ -261,9 +280,12 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, np.ndarray]:
     return model, weights
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, order: int = 1) -> DataFrame:
     """(doc_id, held_out, score, predicted, log_ratio) for each row of docs (doc_id, text).
 
+    ``order`` 2 scores by the exact Kneser-Ney models over pairs of words (:mod:`word_pairs`),
+    1 by words alone.
+
     Learns from labels (doc_id, toxic) outside the held-out fold alone; a doc_id labelled
     twice counts as toxic if any label says so.  A text without a word (null, empty) has the
     log ratio 0.  A null doc_id is held out.  With no labels, or labels of one class, all
@@ -272,7 +294,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     """
     store.arrow_limits(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model, weights = train(base, labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")))
+    model, weights = train(base, labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")), order)
     slope, bias = weights.tolist()
 
     def run(batches):

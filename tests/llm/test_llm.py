@@ -17,7 +17,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from framewright.llm import chat_format, components, decontaminate, fertility, line_dedup, piece_lattice, queries, simhash_vptree, substring_dedup, token_ids, toxicity, warc_zip, words
+from framewright.llm import chat_format, components, decontaminate, fertility, line_dedup, piece_lattice, queries, simhash_vptree, substring_dedup, token_ids, toxicity, warc_zip, word_pairs, words
 
 SP = queries.vocabulary("piece_bpe_32k.model")
 BPE = queries.vocabulary("word_bpe_49k.json")
@@ -394,6 +394,73 @@ def test_toxicity_learns(spark):
     assert all(np.isclose(again[i].score, got[i].score) for i in got)
 
 
+@pytest.mark.parametrize("size", [1 << 20, 40])  # one block of the model, and several
+def test_pair_scores_match_brute_force(spark, monkeypatch, size):
+    rnd = random.Random(16)
+    stock = [f"w{i}" for i in range(150)]
+    texts = [" ".join(rnd.choice(stock) + rnd.choice(["", " the"]) for _ in range(rnd.randint(0, 40))) + rnd.choice(["", " vile scum"] if i % 5 == 0 else ["", " vile day"]) for i in range(400)]
+    texts += [None, "", "vile", "scum vile scum unheard", "the the the"]
+    toxic = [int(i % 5 == 0) for i in range(400)]
+    folds = [zlib.crc32(str(i).encode()) % 3 for i in range(len(texts))]
+    known = [i for i in range(400) if folds[i] != 1]
+    cut = lambda t: re.findall("[a-z0-9]+", (t or "").lower())
+    pairs = lambda t: list(zip([None, *cut(t)], cut(t)))
+
+    def model(slots):
+        c = {}
+        for i in known:
+            if folds[i] + toxic[i] in slots:
+                for p in set(pairs(texts[i])):
+                    c[p] = c.get(p, 0) + 1
+        return c
+
+    every = model({0, 1, 2, 3})
+    words_of = sorted({w for _, w in every})
+    k = {w: sum(x == w for _, x in every) for w in words_of}
+    assert max(k.values()) > 64
+
+    def chance(c):
+        f = {}
+        for _, w in c:
+            f[w] = f.get(w, 0) + 1
+        total = sum(f.values())
+        reserve = sum(min(x, 1) for x in f.values()) / total
+        n, d = {}, {}
+        for (v, _), x in c.items():
+            n[v], d[v] = n.get(v, 0) + x, d.get(v, 0) + min(x, 3)
+        low = lambda w: max(f.get(w, 0) - 1, 0) / total + reserve * k.get(w, 1) / (sum(k.values()) + 1000)
+        p = lambda v, w: max(c.get((v, w), 0) - 3, 0) / n.get(v, 1) + (d[v] / n[v] if v in n else 1) * low(w)
+        for v in (None, "the", "vile", "unheard"):  # words never seen share the rest
+            assert abs(sum(p(v, w) for w in words_of) + (d[v] / n[v] if v in n else 1) * reserve * 1000 / (sum(k.values()) + 1000) - 1) < 1e-9
+        return p
+
+    def figure(text, models):
+        ratio = [min(models[1](*p) / models[0](*p), np.exp(word_pairs.MOST)) for p in pairs(text)]
+        return np.log(np.mean(ratio)) if ratio else 0.0
+
+    models = {m: [chance(model(set(s))) for s in toxicity.MODELS[m]] for m in toxicity.MODELS}
+    x = np.array([figure(texts[i], models["second" if folds[i] == 0 else "first"]) for i in known])
+    slope, bias = toxicity.fit_logistic(x[:, None], np.array([toxic[i] for i in known], float))
+    assert slope > 0
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", size)
+    monkeypatch.setattr(toxicity, "HELD", 50)
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    got = by_id(toxicity.score(docs_of(spark, texts), labels, order=2))
+    figures = [figure(t, models["all"]) for t in texts]
+    assert np.allclose([got[i].log_ratio for i in range(len(texts))], figures, atol=1e-9)
+    assert np.allclose([got[i].score for i in range(len(texts))], [1 / (1 + np.exp(-(slope * f + bias))) for f in figures], atol=1e-6)
+
+
+def test_op3_scores_by_pairs_of_words(spark, monkeypatch):
+    asked = []
+    score = toxicity.score
+    monkeypatch.setattr(queries.toxicity, "score", lambda *a, **k: asked.append(k) or score(*a, **k))
+    assert {r.predicted for r in queries.op3_toxicity(spark, DATA).collect()} <= {0, 1} and asked == [{"order": 2}]
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {r.predicted for r in score(docs_of(spark, ODD), none, order=2).collect()} == {0}
+    assert score(spark.createDataFrame([], EMPTY), none, order=2).count() == 0
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.predicted for r in toxicity.score(docs_of(spark, ODD), none).collect()} == {0}
