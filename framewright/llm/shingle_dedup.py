@@ -1,10 +1,13 @@
 """Links of operator 8 by similarity: the exact Jaccard similarity of sets of word shingles.
 
-Texts with equal sets are one node.  Candidates share two of the SKETCH smallest hashes of
-their sets, which a pair at similarity 0.8 misses with a chance of about 1 in 10,000; each
-pair of hashes is a join key.  As in :mod:`line_dedup`, all texts of a bucket are first held
-against its most frequent text, and only buckets whose texts are then still in different
-components are joined with themselves.  The whole sets of a candidate pair decide.
+Texts with equal sets are one node.  Each has operator 8's SimHash of its whole set and
+SAMPLES further ones, each of the TAKEN shingles that come first in an order of its own.  Two
+texts at similarity 0.8 take the same shingles in one order with a chance of about 0.64, so
+all samples miss such a pair with a chance of about 1 in 25,000, where the SimHashes of whole
+sets (some ten bits apart) would miss most.  Vantage-point trees find the fingerprints of one
+order within RADIUS bits; what they connect is a bucket.  As in :mod:`line_dedup`, all texts of a bucket
+are first held against its most frequent text, and only buckets whose texts are then still in
+different components are joined with themselves.  The whole sets of a candidate pair decide.
 """
 
 from __future__ import annotations
@@ -15,15 +18,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import store
+from . import simhash_vptree, store
 from .components import components
-from .simhash_vptree import text_shingles
-from .words import chunks, mix64
+from .simhash_vptree import majority, text_shingles
+from .words import chunks, mix64, stream64
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCH = 8
-_I, _J = np.triu_indices(SKETCH, 1)
+SAMPLES = 10
+TAKEN = 2
+RADIUS = 3
+_SALT = stream64(23, 2 * SAMPLES)
 
 
 def name_of(shingles: np.ndarray) -> int:
@@ -31,24 +36,39 @@ def name_of(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).view(np.int64))
 
 
-def keys_of(shingles: np.ndarray) -> np.ndarray:
-    """Join keys of a sorted set: each pair of its smallest hashes."""
-    low = shingles[:SKETCH]
-    use = _J < len(low)
-    return mix64(low[_I[use]] * np.uint64(0x9E3779B97F4A7C15) + low[_J[use]]).view(np.int64)
+def fingerprints_of(shingles: np.ndarray) -> np.ndarray:
+    """SimHashes of a set: of the whole, and of each sample; the samples' hashes are salted, so that no two orders meet."""
+    out = [majority(shingles)] if len(shingles) else [0]
+    for order, salt in zip(_SALT[::2], _SALT[1::2]):
+        taken = shingles
+        if len(shingles) > TAKEN:
+            taken = shingles[np.argpartition(mix64(shingles ^ order), TAKEN)[:TAKEN]]
+        out.append(majority(mix64(taken ^ salt)))
+    return np.array(out, np.uint64).view(np.int64)
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, sid, n, keys) of every row: name, size and join keys of its set of shingles."""
+    """(doc_id, sid, n, fps) of every row: name, size and fingerprints of its set of shingles."""
 
     def compute(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
                 sets = [np.unique(h) for h in text_shingles(part.column(1), shingle)]
                 cols = [part.column(0), pa.array([name_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([keys_of(s) for s in sets], pa.list_(pa.int64()))], ["doc_id", "sid", "n", "keys"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([fingerprints_of(s) for s in sets], pa.list_(pa.int64()))], ["doc_id", "sid", "n", "fps"])
 
-    return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, sid long, n long, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, sid long, n long, fps array<long>")
+
+
+def bucketed(nodes: DataFrame) -> DataFrame:
+    """(key, sid): the buckets of each set, one for each of its fingerprints (nodes: sid, fps)."""
+    spark = nodes.sparkSession
+    rows = store.cut(nodes.select("sid", F.posexplode("fps").alias("lot", "fp")), "fps")
+    distinct = store.cut(rows.select("lot", "fp").distinct(), "distinct")
+    near = components(simhash_vptree.links(distinct, RADIUS, lots=1 + SAMPLES)).withColumnRenamed("node", "fp")
+    store.drop(spark, distinct)
+    # a lot is part of the name: without it, sets of few shingles could meet in two lots
+    return rows.join(near, "fp", "left").select(F.xxhash64("lot", F.coalesce("component", "fp")).alias("key"), "sid")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -73,7 +93,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
 
 def links(nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Edges (a, b) that connect every candidate pair of distinct sets at the similarity."""
-    rows = nodes.select("sid", F.explode("keys").alias("key"))
+    rows = store.cut(bucketed(nodes), "keys")
     shared = store.cut(rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared")
     busy = store.cut(rows.join(shared, "key"), "buckets")
     busy = store.cut(busy.join(nodes.select("sid", "n", "copies"), "sid"), "figures")
@@ -104,7 +124,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: float =
     store.arrow_limits(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     prints = store.cut(sketches(base, shingle), "prints")
-    nodes = prints.groupBy("sid").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("keys").alias("keys"), F.count("*").alias("copies"))
+    nodes = prints.groupBy("sid").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("fps").alias("fps"), F.count("*").alias("copies"))
     nodes = store.cut(nodes, "nodes")
     names = components(links(nodes, base, shingle, similarity))
     grouped = nodes.select("sid", "least").join(names.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))

@@ -228,24 +228,30 @@ def _shard_forest(table: pa.Table, radius: int) -> pa.Table:
     return pa.table({"a": fps[a].view(np.int64), "b": fps[b].view(np.int64)})
 
 
-def links(distinct: DataFrame, radius: int = 3, shard: int = SHARD) -> DataFrame:
-    """Edges (a, b) between the distinct fingerprints ``fp`` that connect every pair within radius."""
+def links(distinct: DataFrame, radius: int = 3, shard: int = SHARD, lots: int = 1) -> DataFrame:
+    """Edges (a, b) between the distinct fingerprints ``fp`` that connect every pair within radius.
+
+    With ``lots``, a column lot (0 .. lots - 1) says which fingerprints meet: only those of
+    one lot.  Each lot has its own shards, of trees with the same vantages.
+    """
     n = distinct.count()
     share = min(1.0, SAMPLE / max(n, 1))
-    rows = distinct.where(F.pmod(F.xxhash64(F.lit(7), "fp"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(2 * SAMPLE).toArrow()
+    rows = distinct.where(F.pmod(F.xxhash64(F.lit(7), "fp"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(2 * SAMPLE).select("fp").toArrow()
     sample = rows.column("fp").to_numpy().view(np.uint64)
-    depth = max(0, int(np.ceil(np.log2(max(n, 1) / shard))))
+    depth = max(0, int(np.ceil(np.log2(max(n, 1) / (shard * lots)))))
     trees = [Tree(_half(sample, side), depth) for side in (0, 1)]
+    width = max(t.shards for t in trees)
 
     def route(batches):
         for batch in batches:
-            fps = batch.column(0).to_numpy().view(np.uint64)
+            fps, lot = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
             for side, tree in enumerate(trees):
                 at, to, home = tree.route(_half(fps, side), radius // 2)
-                yield pa.RecordBatch.from_arrays([pa.array(to * 2 + side), pa.array(fps[at].view(np.int64)), pa.array(home)], ["shard", "fp", "home"])
+                yield pa.RecordBatch.from_arrays([pa.array((lot[at] * width + to) * 2 + side), pa.array(fps[at].view(np.int64)), pa.array(home)], ["shard", "fp", "home"])
 
-    placed = store.cut(distinct.select("fp").mapInArrow(route, "shard long, fp long, home boolean"), "placed")
-    placed = uncrowded(placed, radius, shard, 2 * max(t.shards for t in trees))
+    named = distinct.select("fp", F.col("lot").cast("long") if lots > 1 else F.lit(0).cast("long").alias("lot"))
+    placed = store.cut(named.mapInArrow(route, "shard long, fp long, home boolean"), "placed")
+    placed = uncrowded(placed, radius, shard, 2 * lots * width)
     return placed.groupBy("shard").applyInArrow(lambda t: _shard_forest(t, radius), "a long, b long")
 
 
@@ -341,8 +347,9 @@ def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3, similarity: flo
 
     With ``similarity``, rows link by the exact similarity of their sets of shingles instead
     of by bits.  At 0.8 fingerprints lie some ten bits apart, and a ball of that radius meets
-    nearly every shard of a vantage-point tree; candidates then come from sketches of the
-    sets (:mod:`shingle_dedup`).  Rows that share a doc_id are one document and go together;
+    nearly every shard of a vantage-point tree; so texts then have further fingerprints, of
+    samples of their shingles, and those that the trees find near are candidates
+    (:mod:`shingle_dedup`).  Rows that share a doc_id are one document and go together;
     a row with a null doc_id stays.  All columns pass through; an empty table stays empty.
     """
     if similarity is None:

@@ -799,6 +799,35 @@ def test_near_dedup_stage_links_at_shingle_similarity(spark):
     assert kept == {root(i) for i in range(len(texts))}
 
 
+def test_near_dedup_stage_finds_its_pairs_in_the_trees(spark, monkeypatch):
+    import corpus_pipeline
+    from framewright.llm import shingle_dedup
+
+    rnd = random.Random(21)
+    texts = []
+    for _ in range(150):  # other words at the end: similarity just above and below 0.8 on 5-word shingles
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(100)]
+        own = base[: 100 - rnd.randint(9, 11)] + [f"v{rnd.randrange(10**6)}" for _ in range(rnd.randint(9, 12))]
+        texts += [" ".join(base), " ".join(own)]
+    shingled = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    like = [i for i in range(0, 300, 2) if len(shingled[i] & shingled[i + 1]) >= 0.8 * len(shingled[i] | shingled[i + 1])]
+    assert 40 < len(like) < 140
+    asked = []
+    search = simhash_vptree.links
+    monkeypatch.setattr(simhash_vptree, "links", lambda *a, **k: asked.append((a[1], k)) or search(*a, **k))
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs_of(spark, texts), "").collect()}
+    assert asked == [(3, {"lots": 1 + shingle_dedup.SAMPLES})]
+    assert kept == set(range(300)) - {i + 1 for i in like}
+
+
+def test_trees_keep_lots_apart(spark):
+    rng = np.random.default_rng(4)
+    fps = rng.integers(0, 2**62, 400)
+    rows = [(int(x) ^ (1 << int(b)), lot) for x in fps for lot, b in ((0, 0), (0, 1), (1, 2))]
+    got = {(r.a, r.b) for r in simhash_vptree.links(spark.createDataFrame(rows, "fp long, lot int"), 3, shard=50, lots=2).collect()}
+    assert {frozenset(p) for p in got} == {frozenset((int(x) ^ 1, int(x) ^ 2)) for x in fps}
+
+
 def test_vantage_search_finds_every_pair(spark, monkeypatch):
     rng = np.random.default_rng(2)
     centre = rng.integers(0, 2**63, 300, dtype=np.uint64)
