@@ -300,7 +300,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> Data
         for part, items in _found(batches, folder, blocks, edits):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "item_ids"])
 
-    found = base.mapInArrow(run, "doc_id long, item_ids array<long>")
+    found = base.mapInArrow(store.trimmed(run), "doc_id long, item_ids array<long>")
     return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), F.size("item_ids").cast("long").alias("n_items"), "item_ids")
 
 
@@ -326,4 +326,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS) -> D
         for part, items in _found(batches, folder, blocks, edits):
             yield part.filter(pa.array([not x for x in items], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(store.trimmed(run), docs.schema)

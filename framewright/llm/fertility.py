@@ -193,7 +193,7 @@ def quality(docs: DataFrame, vocabulary: str, bands: dict | None = None) -> Data
 
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in _COUNTS)
     schema += ", base_failed boolean, kept boolean, n_tokens long, chars_per_token double, byte_share double, token_entropy double, script string"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(store.trimmed(run), schema)
 
 
 def keep_good(docs: DataFrame, vocabulary: str, bands: dict | None = None) -> DataFrame:
@@ -207,4 +207,4 @@ def keep_good(docs: DataFrame, vocabulary: str, bands: dict | None = None) -> Da
                 texts = part.column(part.schema.get_field_index("text")).fill_null("").to_pylist()
                 yield part.filter(pa.array(verdicts(measure(texts, vocabulary), bands)[1]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(store.trimmed(run), docs.schema)

@@ -399,4 +399,4 @@ def segment(docs: DataFrame, path: str, n: int = BEST, with_ids: bool = False, s
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "doc_id long, n_tokens long, ids_crc32 long, score double, decodes boolean, n_found long, alternatives array<struct<loss: double, n_tokens: long, ids_crc32: long>>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(store.trimmed(run), schema + ", ids array<int>" * with_ids)

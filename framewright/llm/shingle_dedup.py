@@ -57,7 +57,7 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 cols = [part.column(0), pa.array([name_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([fingerprints_of(s) for s in sets], pa.list_(pa.int64()))], ["doc_id", "sid", "n", "fps"])
 
-    return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, sid long, n long, fps array<long>")
+    return docs.select("doc_id", "text").mapInArrow(store.trimmed(compute), "doc_id long, sid long, n long, fps array<long>")
 
 
 def bucketed(nodes: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int,
     near = store.cut(pairs.distinct(), "pairs")
     wanted = near.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(nodes.select("sid", "least"), "sid")
     asked = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["least"])).select("sid", "text")
-    sets = store.cut(asked.mapInArrow(compute, "sid long, shingles array<long>").dropDuplicates(["sid"]), "sets")
+    sets = store.cut(asked.mapInArrow(store.trimmed(compute), "sid long, shingles array<long>").dropDuplicates(["sid"]), "sets")
     both = near.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b")
     both = both.select("a", "b", F.size("x").alias("p"), F.size("y").alias("q"), F.size(F.array_intersect("x", "y")).alias("common"))
     return store.cut(both.where(F.col("common") >= similarity * (F.col("p") + F.col("q") - F.col("common")) - 1e-9).select("a", "b"), "links")

@@ -88,7 +88,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     store.arrow_limits(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(compute, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(store.trimmed(compute), "doc_id long, fp long")
 
 
 class Tree:
@@ -250,7 +250,7 @@ def links(distinct: DataFrame, radius: int = 3, shard: int = SHARD, lots: int =
                 yield pa.RecordBatch.from_arrays([pa.array((lot[at] * width + to) * 2 + side), pa.array(fps[at].view(np.int64)), pa.array(home)], ["shard", "fp", "home"])
 
     named = distinct.select("fp", F.col("lot").cast("long") if lots > 1 else F.lit(0).cast("long").alias("lot"))
-    placed = store.cut(named.mapInArrow(route, "shard long, fp long, home boolean"), "placed")
+    placed = store.cut(named.mapInArrow(store.trimmed(route), "shard long, fp long, home boolean"), "placed")
     placed = uncrowded(placed, radius, shard, 2 * lots * width)
     return placed.groupBy("shard").applyInArrow(lambda t: _shard_forest(t, radius), "a long, b long")
 
@@ -310,7 +310,7 @@ def uncrowded(placed: DataFrame, radius: int, shard: int, names: int) -> DataFra
                 cols = [np.concatenate(x) for x in zip(*out)]
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1].view(np.int64)), pa.array(cols[2])], ["shard", "fp", "home"])
 
-        after = store.cut(placed.mapInArrow(route, "shard long, fp long, home boolean"), "placed")
+        after = store.cut(placed.mapInArrow(store.trimmed(route), "shard long, fp long, home boolean"), "placed")
         for old in (placed, crowd):
             store.drop(spark, old)
         placed = after
