@@ -33,6 +33,7 @@ written tables, which Spark can split.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -48,8 +49,9 @@ PAIRS = 36  # counting words below which keys are made of two blocks
 BLOCKS = 6
 LEAST = 3  # words that a key needs
 LETTERS = 60  # words up to which edits are counted in letters, beyond in words
-LANES = 8  # sums a block; each counts four bits in 16 bits of a long
-_MASK = 0x0001000100010001
+WIDE = 288  # counting words from which words are dealt to blocks as rows, below within their line's row
+LANES = 5  # sums a block; each counts seven bits, in 8 bits of a long each
+_MASK = 0x0001010101010101
 
 
 def words_of(line: Column) -> Column:
@@ -105,53 +107,80 @@ def _blocks(n: Column) -> Column:
     return F.when(n < PAIRS, F.lit(0)).otherwise(F.lit(BLOCKS) * F.pow(F.lit(2), steps)).cast("int")
 
 
-def _majority() -> Column:
-    """Bits set in over half of the c words; s0..s7 count four bits each, in 16 bits."""
-    out = F.lit(0).cast("long")
-    for k in range(LANES):
-        for lane in range(4):
-            count = F.shiftrightunsigned(F.col(f"s{k}"), 16 * lane).bitwiseAND(F.lit(0xFFFF))
-            out = out.bitwiseOR(F.when(count * 2 > F.col("c"), F.lit(1 << (4 * k + lane)).cast("long")).otherwise(F.lit(0).cast("long")))
-    return out
+def _lane(h: Column, k: int) -> Column:
+    return F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_MASK))
+
+
+def _majority(c: Column, sums: list[Column]) -> Column:
+    """Bits set in over half of the c words, of all counters of a sum at once: bit 7 of a counter tells."""
+    most = (F.lit(127) - F.floor(c / 2)) * F.lit(_MASK)
+    bits = [F.shiftleft(F.shiftrightunsigned(x + most, 7).bitwiseAND(F.lit(_MASK)), k) for k, x in enumerate(sums)]
+    return reduce(lambda x, y: x.bitwiseOR(y), bits)
+
+
+def _simhash(hashes: Column) -> Column:
+    """The majority over the hashes of a block's words."""
+    total = lambda k: F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s + _lane(h, k))
+    return _majority(F.size(hashes), [total(k) for k in range(LANES)])
+
 
+def _counting() -> Column:
+    """The words that count in longer lines, from words and the long ones of them."""
+    return F.when(F.size("long") >= LEAST, F.col("long")).otherwise(F.col("words"))
+
+
+def _hashed(lines: DataFrame) -> DataFrame:
+    """(lid, words, counting, hashes) of lines (lid, norm); each step is a projection of its own, worked out once."""
+    out = lines.select("lid", F.split("norm", " ").alias("words"))
+    out = out.select("lid", "words", F.filter("words", lambda w: F.length(w) >= LONG).alias("long"))
+    out = out.select("lid", "words", _counting().alias("counting"))
+    return out.select("lid", "words", "counting", F.array_distinct(F.transform("counting", _hash)).alias("hashes"))
+
+
+def _steps() -> Column:
+    """Numbers of blocks of a line, from its hashes: its own, and the step below if it is just above one."""
+    m = F.size("hashes")
+    return F.array_distinct(F.array(_blocks(m), _blocks(F.floor(m / 1.125).cast("int"))))
 
-def _counting(words: Column) -> Column:
-    """The words that count in longer lines."""
-    long = F.filter(words, lambda w: F.length(w) >= LONG)
-    return F.when(F.size(long) >= LEAST, long).otherwise(words)
+
+def _block_key(blocks: Column, place: Column, c: Column, fp: Column) -> Column:
+    return F.when(c >= LEAST, F.xxhash64(blocks, place, c, fp))
 
 
 def line_keys(nodes: DataFrame) -> DataFrame:
     """(key, lid) of the distinct lines (lid, norm): all join keys of their fingerprints."""
-    fewer = lambda n: F.octet_length(F.substring_index("norm", " ", n)) == F.octet_length("norm")
-    few = nodes.where(fewer(6 * FEW)).select("lid", F.split("norm", " ").alias("words"))
-    few = few.select("lid", "words", _counting(F.col("words")).alias("counting"))
-    size, n = F.size("words"), F.size("counting")
     none = F.array().cast("array<long>")
+    size, n, m = F.size("words"), F.size("counting"), F.size("hashes")
+    row = _hashed(nodes).withColumn("steps", F.when((n >= FEW - 1) & (m < WIDE), _steps()).otherwise(F.array().cast("array<int>")))
+    # six blocks, whose keys are pairs of them (0) or single ones (BLOCKS)
+    six = F.array_contains("steps", 0) | F.array_contains("steps", BLOCKS)
+    deal = lambda blocks, place: F.filter("hashes", lambda h: F.pmod(h, blocks) == place)
+    row = row.select("lid", "words", "counting", "hashes", "steps", *(F.when(six, deal(F.lit(BLOCKS), F.lit(i))).otherwise(none).alias(f"b{i}") for i in range(BLOCKS)))
+    row = row.select("lid", "words", "counting", "hashes", "steps", *(x for i in range(BLOCKS) for x in (F.size(f"b{i}").alias(f"c{i}"), _simhash(F.col(f"b{i}")).alias(f"fp{i}"))))
+    c, fp = ([F.col(f"{x}{i}") for i in range(BLOCKS)] for x in ("c", "fp"))
+    one = [_block_key(F.lit(BLOCKS), F.lit(i), c[i], fp[i]) for i in range(BLOCKS)]
+    two = [F.when(c[i] + c[j] >= LEAST, F.xxhash64(F.lit(i), F.lit(j), c[i], c[j], fp[i], fp[j])) for i, j in combinations(range(BLOCKS), 2)]
+    # more blocks, whose keys are single ones
+    dealt = lambda blocks: F.transform(F.sequence(F.lit(0), blocks - 1), lambda p: deal(blocks, p))
+    of = lambda blocks: F.transform(dealt(blocks), lambda b, p: _block_key(blocks, p, F.size(b), _simhash(b)))
+    more = F.flatten(F.transform(F.filter("steps", lambda b: b > BLOCKS), of))
     keys = F.concat(
         F.when(size <= FEW, _all_but_one(F.col("words"))).otherwise(none),
         F.when(size <= 2, _halves(F.col("words"))).otherwise(none),
         F.when((size >= FEW) & (n <= FEW), _all_but_one(F.col("counting"))).otherwise(none),
+        F.when(F.array_contains("steps", 0), F.array(*two)).otherwise(none),
+        F.when(F.array_contains("steps", BLOCKS), F.array(*one)).otherwise(none),
+        F.when(F.exists("steps", lambda b: b > BLOCKS), more).otherwise(none),
     )
-    short = few.where((size <= FEW) | (n <= FEW)).select(F.explode(keys).alias("key"), "lid")
-    # rows of one line stay in one task, so that its blocks are counted without another exchange
-    more = nodes.where(~fewer(FEW - 1)).repartition("lid").select("lid", F.split("norm", " ").alias("words"))
-    more = more.select("lid", _counting(F.col("words")).alias("counting")).where(F.size("counting") >= FEW - 1)
-    more = more.select("lid", F.array_distinct(F.transform("counting", _hash)).alias("hashes"))
-    m = F.size("hashes")
-    steps = F.array_distinct(F.array(_blocks(m), _blocks(F.floor(m / 1.125).cast("int"))))
-    word = more.select("lid", F.explode(steps).alias("blocks"), "hashes").select("lid", "blocks", F.explode("hashes").alias("h"))
-    place = F.pmod("h", F.when(F.col("blocks") == 0, BLOCKS).otherwise(F.col("blocks"))).cast("int")
-    sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_MASK))).alias(f"s{k}") for k in range(LANES)]
-    block = word.groupBy("lid", "blocks", place.alias("place")).agg(F.count("*").alias("c"), *sums)
-    block = block.select("lid", "blocks", F.floor(F.col("place") / BLOCKS).alias("group"), (F.col("place") % BLOCKS).alias("slot"), "c", _majority().alias("fp"))
-    each = [F.max(F.when(F.col("slot") == i, F.col(x))).alias(f"{x}{i}") for i in range(BLOCKS) for x in ("c", "fp")]
-    group = block.groupBy("lid", "blocks", "group").agg(*each)
-    c, fp = ([F.coalesce(f"{x}{i}", F.lit(0)) for i in range(BLOCKS)] for x in ("c", "fp"))
-    one = [F.when(c[i] >= LEAST, F.xxhash64("blocks", F.col("group") * BLOCKS + i, c[i], fp[i])) for i in range(BLOCKS)]
-    two = [F.when(c[i] + c[j] >= LEAST, F.xxhash64(F.lit(i), F.lit(j), c[i], c[j], fp[i], fp[j])) for i, j in combinations(range(BLOCKS), 2)]
-    keys = F.when(F.col("blocks") == 0, F.array(*two)).otherwise(F.array(*one))
-    return group.select(F.explode(F.array_compact(keys)).alias("key"), "lid").unionByName(short)
+    short = row.select(F.explode(F.array_compact(keys)).alias("key"), "lid")
+    # very long lines: rows of one line stay in one task, so that its blocks are counted without another exchange
+    wide = nodes.where(F.octet_length("norm") >= 2 * WIDE - 1).repartition("lid")
+    wide = _hashed(wide).where(F.size("hashes") >= WIDE).select("lid", F.explode(_steps()).alias("blocks"), "hashes")
+    word = wide.select("lid", "blocks", F.explode("hashes").alias("h"))
+    sums = [F.sum(_lane(F.col("h"), k)).alias(f"s{k}") for k in range(LANES)]
+    block = word.groupBy("lid", "blocks", F.pmod("h", "blocks").cast("int").alias("place")).agg(F.count("*").cast("int").alias("c"), *sums)
+    key = _block_key(F.col("blocks"), F.col("place"), F.col("c"), _majority(F.col("c"), [F.col(f"s{k}") for k in range(LANES)]))
+    return short.unionByName(block.select(key.alias("key"), "lid").where("key is not null"))
 
 
 def alike(pairs: DataFrame) -> DataFrame:
@@ -212,15 +241,13 @@ def _fits(n: str, m: str) -> Column:
 def links(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect every pair of linked lines; nodes: lid, norm, all distinct."""
     spark = nodes.sparkSession
-    keys = store.cut(line_keys(nodes), "keys")
-    store.settle(spark)
+    keys = line_keys(nodes).repartition("key")  # moved once: the join reads the same exchange
     shared = keys.groupBy("key").agg(F.min("lid").alias("hub"), F.max("lid").alias("top")).where("hub < top").select("key", "hub")
-    shared = store.cut(shared, "shared")
+    busy = store.cut(keys.join(shared.hint("shuffle_hash"), "key"), "busy")  # few: most keys are one line's
+    del keys, shared
+    store.settle(spark)
+    texts = store.cut(nodes.select("lid", "norm").join(busy.select("lid").distinct().hint("shuffle_hash"), "lid", "left_semi"), "linetexts", "zstd")
     store.settle(spark)
-    busy = store.cut(keys.join(shared, "key"), "busy")  # few: most keys are one line's
-    store.drop(spark, keys)
-    store.drop(spark, shared)
-    texts = store.cut(nodes.select("lid", "norm").join(busy.select("lid").distinct(), "lid", "left_semi"), "linetexts")
     sizes = texts.select("lid", F.length("norm").alias("n"))
     near_hub = busy.where("lid <> hub").select("hub", "lid").distinct()
     near_hub = near_hub.join(sizes, "lid").join(sizes.select(F.col("lid").alias("hub"), F.col("n").alias("m")), "hub").where(_fits("n", "m"))
@@ -243,22 +270,20 @@ def links(nodes: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, line_no) of every line that goes."""
     spark = docs.sparkSession
-    seen = store.cut(occurrences(docs), "lines")
-    place = F.struct("doc_id", "mark", "line_no")
+    seen = store.cut(occurrences(docs), "lines", "zstd")
     # added up in each task first: a line that holds a third of all rows moves once a task
-    nodes = store.cut(seen.groupBy("lid").agg(F.min(place).alias("f"), F.first("norm").alias("norm")), "nodes")
-    slim = store.cut(seen.drop("norm"), "occurrences")
-    store.drop(spark, seen)
+    nodes = store.cut(seen.groupBy("lid").agg(F.first("norm").alias("norm")), "nodes", "zstd")
     store.settle(spark)
-    edges = links(nodes.select("lid", "norm"))
-    names = components(edges).withColumnRenamed("node", "lid")
-    grouped = store.cut(nodes.select("lid", "f").join(names, "lid", "left").withColumn("component", F.coalesce("component", "lid")), "grouped")
+    names = components(links(nodes)).withColumnRenamed("node", "lid")
     store.drop(spark, nodes)
-    kept = store.cut(grouped.groupBy("component").agg(F.min("f").alias("kept")), "kept")
-    lookup = store.cut(grouped.join(kept, "component").select("lid", "kept"), "lookup")
-    gone = slim.join(lookup, "lid").where(~place.eqNullSafe(F.col("kept"))).select("doc_id", "mark", "line_no").distinct()
-    gone = store.cut(gone, "gone")
-    for old in (slim, grouped, kept, lookup):
+    place = F.struct("doc_id", "mark", "line_no")
+    named = seen.drop("norm").join(names, "lid", "left").withColumn("component", F.coalesce("component", "lid"))
+    named = store.cut(named.drop("lid"), "occurrences")
+    store.drop(spark, seen)
+    kept = named.groupBy("component").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    kept = store.cut(kept, "kept")
+    gone = store.cut(named.join(kept, "component").where(~place.eqNullSafe(F.col("kept"))).select("doc_id", "mark", "line_no"), "gone")
+    for old in (named, kept):
         store.drop(spark, old)
     return gone
 
@@ -290,10 +315,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     docs = docs.drop("n_lines", "n_removed")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(names["gone_id"])) & (F.xxhash64(F.col("text").cast("string")) == F.col(names["gone_mark"]))
-    joined = docs.join(gone, same, "left")
-    lines, cut = F.col(names["gone_lines"]), F.split("text", "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), lines)
-    text = F.when(lines.isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(cut, i + 1)), "\n"))
+    joined = docs.join(gone.hint("shuffle_hash"), same, "left")
+    lines = F.col(names["gone_lines"])
+    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(lines, i))
+    text = F.when(lines.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     count = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return joined.select(
         *(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in columns),

@@ -54,7 +54,7 @@ def settle(spark: SparkSession, rounds: int = 3) -> None:
         time.sleep(0.5)
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a recoverable lineage cut.
 
     Shuffle files are released before the next table is written: until this call returns
@@ -64,7 +64,7 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     release(spark)
     path = new_path(spark, label)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(schema).parquet(path)
 
 

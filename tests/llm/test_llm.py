@@ -214,6 +214,28 @@ def test_many_lines_of_two_words_make_few_pairs(spark):
     assert keys.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0] < 3 * len(lines)
 
 
+def test_words_dealt_in_rows_and_as_rows_give_the_same_keys(spark, monkeypatch):
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(4, 9)))
+    lines = [" ".join(word() for _ in range(n)) for n in (82, 90, 100, 120, 143, 144, 150, 161, 162, 200, 320, 700) for _ in range(5)]
+    rows = spark.createDataFrame(list(enumerate(lines)), "lid long, norm string")
+    keys = []
+    for wide in (line_dedup.WIDE, 72):
+        monkeypatch.setattr(line_dedup, "WIDE", wide)
+        keys.append({(r.lid, r.key) for r in line_dedup.line_keys(rows).collect()})
+    assert keys[0] == keys[1] and {x for x, _ in keys[0]} == set(range(len(lines)))
+
+
+def test_line_keys_move_once_and_are_not_written(spark, monkeypatch):
+    written = []
+    cut = line_dedup.store.cut
+    monkeypatch.setattr(line_dedup.store, "cut", lambda df, label, *a: written.append((label, df)) or cut(df, label, *a))
+    line_dedup.dedup_lines(docs_of(spark, ["one line of several words here", "one line of several words there"])).collect()
+    plans = {label: df._jdf.queryExecution().optimizedPlan().toString() for label, df in written}
+    assert "keys" not in plans and "shared" not in plans
+    assert plans["busy"].count("RepartitionByExpression [key") == 2  # equal ones, of which Spark runs one
+
+
 # ---------------------------------------------------------------- 2 archives
 
 
